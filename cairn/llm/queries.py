@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import neardup, repetition
+from . import decontaminate, mixing, neardup, repetition, toxicity
 
 QUERIES = {
+    "op3_factorization_machine": toxicity.op3_factorization_machine,
     "op4_repetition_coverage": repetition.op4_repetition_coverage,
+    "op7_efraimidis_spirakis": mixing.op7_efraimidis_spirakis,
     "op9_tensored_minhash": neardup.op9_tensored_minhash,
 }
 
