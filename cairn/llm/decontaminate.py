@@ -17,9 +17,6 @@ rows that repeat an id are one.  Empty tables give an empty result; extra column
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,8 +38,9 @@ def _words(text: str) -> Column:
     return F.filter(F.split(plain, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def _seeds(df: DataFrame, i: str = "i") -> list[Column]:
-    word = lambda k: F.element_at("h", F.col(i) + k + 1)
+def _seeds() -> list[Column]:
+    """The hash of each mask's words from word `i` of `h` on."""
+    word = lambda k: F.get("h", F.col("i") + k)
     return [F.xxhash64(F.lit(m), *[word(k) for k in mask]) for m, mask in enumerate(MASKS)]
 
 
@@ -75,18 +73,15 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     hashed = lambda text: F.transform(_words(text), lambda w: F.xxhash64(w))
     items = benchmark.select(F.col("item_id"), hashed("text").alias("h")).dropDuplicates(["item_id"])
-    bank = _windows(items).select("item_id", F.col("i").alias("at"), F.explode(F.array(*_seeds(items))).alias("seed"), F.col("h").alias("item"))
+    bank = _windows(items).select("item_id", F.col("i").alias("at"), F.explode(F.array(*_seeds())).alias("seed"), F.col("h").alias("item"))
     bank = Scratch(docs.sparkSession, "seeds").save(bank, "bank")
     seeds = bank.groupBy("seed").agg(F.collect_set(F.struct("item_id", "at", "item")).alias("places"))
     if bank.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
     bit_map = _bit_map(bank).scalar()
     texts = docs.select("doc_id", hashed("text").alias("h"))
-    names = [f"s{m}" for m in range(len(MASKS))]
     windows = _windows(texts)
-    windows = windows.select("doc_id", "i", "h", *[c.alias(n) for c, n in zip(_seeds(windows), names, strict=True)])
-    windows = windows.filter(reduce(or_, [_may_be_in(bit_map, n) for n in names]))
-    windows = windows.select("doc_id", "i", "h", F.explode(F.array(*names)).alias("seed"))
+    windows = windows.select("doc_id", "i", "h", F.explode(F.array(*_seeds())).alias("seed")).filter(_may_be_in(bit_map, "seed"))
     hits = windows.join(seeds, "seed").select("doc_id", "h", "i", F.explode("places").alias("p"))
     hits = hits.select("doc_id", "h", F.col("p.item_id").alias("item_id"), (F.col("i") - F.col("p.at")).alias("start"), F.col("p.item").alias("item"))
     # the words of both along the alignment

@@ -9,6 +9,7 @@ QUERIES = {
     "op4_repetition_coverage": repetition.op4_repetition_coverage,
     "op7_efraimidis_spirakis": mixing.op7_efraimidis_spirakis,
     "op9_tensored_minhash": neardup.op9_tensored_minhash,
+    "op10_spaced_seeds": decontaminate.op10_spaced_seeds,
 }
 
 ORACLES = {
