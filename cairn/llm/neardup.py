@@ -13,8 +13,9 @@ similarity 0.75 shares a key with probability 0.9995, one of 0.8 with 0.99993.
 
 Defined results: words are `[^\x20\x09-\x0D]+` of the text with A-Z lowered.  Null, empty and
 blank texts have no shingle and no link.  A text of 1 to 4 words is one shingle.  Rows that repeat
-a doc_id count as one document that holds the text of any of its rows; the result has a row per
-input row.  Extra columns are ignored; an empty table gives an empty result.
+a doc_id count as one document, that with the larger set of shingles; the result has one row per
+distinct doc_id, and `keep_one` keeps or drops its rows together.  Rows without a doc_id are never
+linked.  Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -167,7 +168,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "neardup")
     sketch = scratch.save(sketches(docs), "sketches")
     one = sketch.groupBy("doc_id").agg(F.max(F.struct("n", "d0", "d1")).alias("m")).select("doc_id", F.col("m.n").alias("n"), F.col("m.d0").alias("d0"), F.col("m.d1").alias("d1"))
-    classes = one.filter("n > 0").groupBy("n", "d0", "d1").agg(F.min("doc_id").alias("rep"))
+    classes = one.filter("n > 0 and doc_id is not null").groupBy("n", "d0", "d1").agg(F.min("doc_id").alias("rep"))
     some = sketch.filter("n > 0").join(classes, ["n", "d0", "d1"]).filter("doc_id = rep").dropDuplicates(["doc_id"])
     reps = scratch.save(some.select("doc_id", "n", "a", "b"), "reps")
     half = reps.select("doc_id", "n", "b", F.posexplode("a").alias("i", "x"))
@@ -198,12 +199,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if found.limit(1).count():
         labels = components(links.union(found), scratch)
     placed = classes.join(labels, classes.rep == labels.v, "left").select("n", "d0", "d1", F.coalesce("c", "rep").alias("c"))
-    return one.join(placed, ["n", "d0", "d1"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
+    return one.join(placed, ["n", "d0", "d1"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
 
 
 def op9_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

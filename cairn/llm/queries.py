@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, neardup, repetition, toxicity
+from . import decontaminate, lines, mixing, neardup, repetition, toxicity
 
 QUERIES = {
     "op3_factorization_machine": toxicity.op3_factorization_machine,
     "op4_repetition_coverage": repetition.op4_repetition_coverage,
     "op7_efraimidis_spirakis": mixing.op7_efraimidis_spirakis,
+    "op8_fuzzy_lines": lines.op8_fuzzy_lines,
     "op9_tensored_minhash": neardup.op9_tensored_minhash,
     "op10_spaced_seeds": decontaminate.op10_spaced_seeds,
 }

@@ -146,8 +146,8 @@ def train(docs: DataFrame, labels: DataFrame) -> FactorizationMachine:
     return FactorizationMachine.fit(bins, np.repeat(np.arange(len(y)), [len(p) for p in packed]), y)
 
 
-def score(docs: DataFrame, model: FactorizationMachine, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns `keep` of each row, and its score."""
+def score(docs: DataFrame, model: FactorizationMachine, keep: list[str], text: str = "text", name: str = "score") -> DataFrame:
+    """The columns `keep` of each row, and its score as the column `name`."""
     src = docs.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,10 +155,10 @@ def score(docs: DataFrame, model: FactorizationMachine, keep: list[str], text: s
             if not batch.num_rows:
                 continue
             scores = [model.score(*terms(block), block.n) for block in blocks(batch.column(len(keep)))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(np.concatenate(scores))], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(np.concatenate(scores))], [*keep, name])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]]
-    return src.mapInArrow(run, ", ".join([*fields, "score double"]))
+    return src.mapInArrow(run, ", ".join([*fields, f"`{name}` double"]))
 
 
 def op3_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,8 +167,8 @@ def op3_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def reject_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` (all columns) without the rows that score 0.5 or more."""
     names = docs.columns
-    scored = score(docs.withColumn("__row_text", F.col("text")), train(docs, labels), names, text="__row_text")
-    return scored.filter("score < 0.5").select(*names)
+    scored = score(docs, train(docs, labels), names, name="__toxic_score")
+    return scored.filter("__toxic_score < 0.5").select(*names)
