@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lines, mixing, neardup, repetition, toxicity
+from . import decontaminate, lines, mixing, neardup, repetition, substrings, toxicity
 
 QUERIES = {
+    "op2_index_family": substrings.op2_index_family,
     "op3_factorization_machine": toxicity.op3_factorization_machine,
     "op4_repetition_coverage": repetition.op4_repetition_coverage,
     "op7_efraimidis_spirakis": mixing.op7_efraimidis_spirakis,
