@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lines, mixing, neardup, personal, repetition, substrings, toxicity
+from . import decontaminate, lines, mixing, neardup, pages, personal, repetition, substrings, toxicity
 
 QUERIES = {
     "op2_index_family": substrings.op2_index_family,
     "op3_factorization_machine": toxicity.op3_factorization_machine,
     "op4_repetition_coverage": repetition.op4_repetition_coverage,
     "op5_conditional_random_field": personal.op5_conditional_random_field,
+    "op6_recurrent_labeller": pages.op6_recurrent_labeller,
     "op7_efraimidis_spirakis": mixing.op7_efraimidis_spirakis,
     "op8_fuzzy_lines": lines.op8_fuzzy_lines,
     "op9_tensored_minhash": neardup.op9_tensored_minhash,
