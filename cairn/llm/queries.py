@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lines, mixing, neardup, pages, personal, repetition, substrings, toxicity
+from . import decontaminate, lines, mixing, neardup, pages, personal, quotes, repetition, substrings, toxicity
 
 QUERIES = {
+    "op1_quotation_linking": quotes.op1_quotation_linking,
     "op2_index_family": substrings.op2_index_family,
     "op3_factorization_machine": toxicity.op3_factorization_machine,
     "op4_repetition_coverage": repetition.op4_repetition_coverage,
