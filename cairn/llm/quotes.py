@@ -70,7 +70,8 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     c = F.coalesce(F.col("conv_id").cast("long"), F.lit(-(1 << 63)))
     rows = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.col("text").cast("string").alias("text"), c.alias("c"))
     placed = rows.filter("turn is not null")
-    quoted = _lines(placed.filter(F.col("text").rlike(r"(?m)^[ \t]*>"))).filter("level > 0")
+    quoting = placed.filter(F.col("text").rlike(r"(?m)^[ \t]*>")).select("c", "turn", "text").distinct()
+    quoted = _lines(quoting).filter("level > 0")
     quoted = scratch.save(quoted, "quoted")
     # the first message that holds a line unquoted; a line that thousands hold meets in partial minimums
     asked = quoted.select("c", "h", "h2").distinct()
