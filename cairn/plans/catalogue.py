@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from . import alignment, curation, joins, scalars, summaries  # noqa: F401
+from .registry import ORACLES, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracles() -> dict:
-    return {}
+    return dict(ORACLES)
