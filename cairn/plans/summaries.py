@@ -86,12 +86,12 @@ def q_argmax_tiebreak(t):
 
 
 @query("""
-WITH w AS (SELECT p_partkey, p_brand, unnest(string_split(p_name, ' ')) AS token FROM part), n AS (SELECT token, count(*) AS n, min(p_brand) AS owner FROM w GROUP BY 1)
-SELECT owner, count(*)::BIGINT AS rare FROM n WHERE n <= 60 GROUP BY 1 ORDER BY rare DESC, owner LIMIT 10""")
+WITH w AS (SELECT p_partkey, p_brand, concat(unnest(string_split(p_name, ' ')), p_size, p_type) AS token FROM part), n AS (SELECT token, count(*) AS n, min(p_brand) AS owner FROM w GROUP BY 1)
+SELECT owner, count(*)::BIGINT AS rare FROM n WHERE n = 1 GROUP BY 1 ORDER BY rare DESC, owner LIMIT 10""")
 def q_singleton_owners(t):
     """Tokens few rows use, and the ten owners with most of them."""
-    words = t.part.select("p_brand", F.explode(F.split("p_name", " ")).alias("token"))
-    rare = words.groupBy("token").agg(F.count("*").alias("n"), F.min("p_brand").alias("owner")).filter("n <= 60")
+    words = t.part.select("p_brand", F.explode(F.split("p_name", " ")).alias("w"), F.concat("p_size", "p_type").alias("kind")).select("p_brand", F.concat("w", "kind").alias("token"))
+    rare = words.groupBy("token").agg(F.count("*").alias("n"), F.min("p_brand").alias("owner")).filter("n = 1")
     return rare.groupBy("owner").agg(F.count("*").alias("rare")).orderBy(F.desc("rare"), "owner").limit(10)
 
 
