@@ -1 +1,228 @@
 """Queries of sequence and alignment operators."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from ..operators import distance, pairwise
+from ..operators import sequence as seq
+from .registry import query
+from .scalars import _BASES, AMINO_ACIDS, _bases, translate_codon
+
+L = F.lit
+
+_DIAGONALS = f"""
+q AS (SELECT doc_id, i AS pos, substr(text, i + 1, {seq.SEED}) AS k FROM documents, range(0, greatest(length(text) - {seq.SEED - 1}, 0)) g(i)),
+r AS (SELECT item_id, i AS rpos, substr(text, i + 1, {seq.SEED}) AS k FROM benchmark, range(0, greatest(length(text) - {seq.SEED - 1}, 0)) g(i)),
+v AS (SELECT doc_id, item_id, rpos - pos AS diag, count(*) AS n, min(pos) AS q0, min(rpos) AS r0 FROM q JOIN r ON q.k = r.k GROUP BY 1, 2, 3 HAVING count(*) >= {seq.MIN_ANCHORS}),
+d AS (SELECT doc_id, item_id, diag, n::BIGINT AS n FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n DESC, q0, r0) AS i FROM v) WHERE i = 1)"""
+_POSITIONS = """
+p AS (SELECT d.doc_id, d.item_id, d.diag, substr(x.text, CAST(i + 1 AS BIGINT), 1) AS a, substr(b.text, CAST(i + diag + 1 AS BIGINT), 1) AS b
+  FROM d JOIN documents x ON x.doc_id = d.doc_id JOIN benchmark b ON b.item_id = d.item_id, range(greatest(0, -diag), least(length(x.text), length(b.text) - diag)) g(i))"""
+
+
+@query(f"WITH {_DIAGONALS} SELECT doc_id, item_id, diag, n FROM d")
+def q_kmer_diagonal(t):
+    return seq.diagonals(t.documents, t.benchmark)
+
+
+def _measured(t, readable=None):
+    rows = seq.along(seq.diagonals(t.documents, t.benchmark), t.documents, t.benchmark)
+    return seq.divergence(rows, readable).select("doc_id", "item_id", "diag", "compared", "mismatches")
+
+
+@query(f"WITH {_DIAGONALS}, {_POSITIONS} SELECT doc_id, item_id, count(*)::BIGINT AS compared, count(*) FILTER (a <> b)::BIGINT AS mismatches FROM p GROUP BY 1, 2 HAVING count(*) >= 50 AND 100 * count(*) FILTER (a <> b) <= 40 * count(*)")
+def q_ungapped_divergence(t):
+    """Mismatches along the best diagonal, where at least 50 letters compare and at most 40 % differ."""
+    rows = _measured(t).filter((F.col("compared") >= seq.MIN_COMPARED) & (100 * F.col("mismatches") <= seq.IMPLAUSIBLE_PERCENT * F.col("compared")))
+    return rows.select("doc_id", "item_id", "compared", "mismatches")
+
+
+_LETTERS = "^[A-Za-z]$"
+
+
+@query(f"WITH {_DIAGONALS}, {_POSITIONS} SELECT doc_id, item_id, count(*)::BIGINT AS compared, count(*) FILTER (a <> b)::BIGINT AS mismatches FROM p WHERE regexp_matches(a, '{_LETTERS}') AND regexp_matches(b, '{_LETTERS}') GROUP BY 1, 2 HAVING count(*) >= 50")
+def q_masked_divergence(t):
+    """The same, only where both letters can be read."""
+    return _measured(t, _LETTERS).filter(F.col("compared") >= seq.MIN_COMPARED).select("doc_id", "item_id", "compared", "mismatches")
+
+
+@query(f"""
+WITH {_DIAGONALS}, {_POSITIONS}, f AS (SELECT doc_id, min(CASE WHEN c >= 200 THEN m END) AS full_m, min(m) AS any_m FROM (SELECT doc_id, item_id, count(*) AS c, count(*) FILTER (a <> b)::BIGINT AS m FROM p GROUP BY 1, 2) GROUP BY 1)
+SELECT doc_id, coalesce(full_m, any_m) AS mismatches, CASE WHEN full_m IS NOT NULL THEN 'long' ELSE 'fallback' END AS basis FROM f""")
+def q_fallback_measure(t):
+    """The measure over long overlaps, else over any, and which it is."""
+    by_doc = _measured(t).groupBy("doc_id").agg(F.min(F.when(F.col("compared") >= 200, F.col("mismatches"))).alias("full"), F.min("mismatches").alias("any"))
+    return by_doc.select("doc_id", F.coalesce("full", "any").alias("mismatches"), F.when(F.col("full").isNotNull(), "long").otherwise("fallback").alias("basis"))
+
+
+_COLUMNS = "c AS (SELECT lang, doc_id, i - 1 AS position, substr(text, i, 1) AS letter FROM documents, range(1, least(40, length(text)) + 1) g(i)), n AS (SELECT lang, position, letter, count(*) AS n, min(doc_id) AS first FROM c GROUP BY 1, 2, 3)"
+
+
+@query(f"WITH {_COLUMNS} SELECT lang, position::BIGINT AS position, letter, n::BIGINT AS n FROM (SELECT *, row_number() OVER (PARTITION BY lang, position ORDER BY n DESC, first) AS i FROM n) WHERE i = 1")
+def q_column_consensus(t):
+    columns = seq.columns_of(t.documents, "lang", "doc_id", "text", 40)
+    return seq.consensus(columns, "lang", "doc_id", first_seen=True).withColumn("position", F.col("position").cast("long"))
+
+
+@query(f"WITH {_COLUMNS} SELECT lang, position::BIGINT AS position, CASE WHEN letter = '-' THEN '0' ELSE letter END AS code, n::BIGINT AS n FROM (SELECT *, row_number() OVER (PARTITION BY lang, position ORDER BY n DESC, ord(letter)) AS i FROM n) WHERE i = 1")
+def q_column_consensus_code(t):
+    columns = seq.columns_of(t.documents, "lang", "doc_id", "text", 40)
+    rows = seq.consensus(columns, "lang", "doc_id", first_seen=False)
+    return rows.select("lang", F.col("position").cast("long").alias("position"), F.when(F.col("letter") == "-", "0").otherwise(F.col("letter")).alias("code"), "n")
+
+
+_CODONS = f"""
+k AS (SELECT doc_id, lang, i, substr(b, 3 * i + 1, 3) AS codon FROM (SELECT doc_id, lang, {_BASES} AS b FROM documents) s, range(0, 20) g(i) WHERE length(b) >= 3 * i + 3),
+a AS (SELECT *, CASE WHEN instr(codon, 'N') > 0 THEN 'X' ELSE substr('{AMINO_ACIDS}', (instr('TCAG', codon[1]) - 1) * 16 + (instr('TCAG', codon[2]) - 1) * 4 + instr('TCAG', codon[3]), 1) END AS aa FROM k)"""
+
+
+def _codons(df):
+    rows = df.select("doc_id", "lang", _bases().alias("b")).filter(F.length("b") >= 3)
+    at = rows.select("doc_id", "lang", F.posexplode(F.regexp_extract_all("b", L("(.{3})"), L(1))).alias("i", "codon"))
+    return at.withColumn("aa", translate_codon(F.col("codon")))
+
+
+@query(f"""
+WITH {_CODONS}, r AS (SELECT * FROM a WHERE doc_id = (SELECT min(doc_id) FROM documents))
+SELECT a.doc_id, count(*)::BIGINT AS compared, count(*) FILTER (a.aa <> r.aa)::BIGINT AS different FROM a JOIN r ON a.i = r.i WHERE a.aa <> 'X' AND r.aa <> 'X' GROUP BY 1""")
+def q_codon_distance(t):
+    """Residues against the first record's; codons that cannot be read are skipped."""
+    codons = _codons(t.documents).filter("aa <> 'X'")
+    first = t.documents.agg(F.min("doc_id")).scalar()
+    ref = codons.filter(F.col("doc_id") == first).select("i", F.col("aa").alias("ref"))
+    return codons.join(ref, "i").groupBy("doc_id").agg(F.count("*").alias("compared"), F.count_if(F.col("aa") != F.col("ref")).alias("different"))
+
+
+@query(f"""
+WITH {_CODONS}, c AS (SELECT lang, i, codon AS cc, aa AS ca FROM (SELECT lang, i, codon, aa, row_number() OVER (PARTITION BY lang, i ORDER BY count(*) DESC, codon) AS rk FROM a GROUP BY lang, i, codon, aa) WHERE rk = 1)
+SELECT a.doc_id, count(*) FILTER (a.aa <> 'X' AND ca <> 'X')::BIGINT AS assessable, count(*) FILTER (a.aa <> 'X' AND ca <> 'X' AND codon <> cc AND a.aa = ca)::BIGINT AS synonymous, count(*) FILTER (a.aa <> 'X' AND ca <> 'X' AND a.aa <> ca)::BIGINT AS nonsynonymous, count(*) FILTER (a.aa = 'X')::BIGINT AS unreadable
+FROM a JOIN c ON a.lang = c.lang AND a.i = c.i GROUP BY 1""")
+def q_codon_classify(t):
+    """Codons against their group's consensus: same residue, another, or not to be told."""
+    codons = _codons(t.documents)
+    counts = codons.groupBy("lang", "i", "codon", "aa").agg(F.count("*").alias("n"))
+    ref = counts.groupBy("lang", "i").agg(F.min_by(F.struct("codon", "aa"), F.struct(-F.col("n"), "codon")).alias("c")).select("lang", "i", F.col("c.codon").alias("cc"), F.col("c.aa").alias("ca"))
+    rows = codons.join(ref, ["lang", "i"])
+    ok = (F.col("aa") != "X") & (F.col("ca") != "X")
+    return rows.groupBy("doc_id").agg(F.count_if(ok).alias("assessable"), F.count_if(ok & (F.col("codon") != F.col("cc")) & (F.col("aa") == F.col("ca"))).alias("synonymous"), F.count_if(ok & (F.col("aa") != F.col("ca"))).alias("nonsynonymous"), F.count_if(F.col("aa") == "X").alias("unreadable"))
+
+
+@query(r"""
+SELECT page_id, CASE WHEN instr(html, '<article>') > 0 THEN 'annotated' WHEN instr(html, '<p>') > 0 THEN 'inferred' ELSE 'none' END AS basis,
+  CASE WHEN instr(html, '<article>') > 0 THEN substr(html, instr(html, '<article>') + 9, 40) WHEN instr(html, '<p>') > 0 THEN substr(html, instr(html, '<p>') + 3, 40) ELSE '' END AS segment,
+  CASE WHEN instr(html, '<article>') = 0 AND instr(html, '<p>') = 0 THEN 'no segment found' ELSE '' END AS reason FROM pages""")
+def q_segment_fallback(t):
+    """The annotated segment, else one inferred, else none and why."""
+    at = lambda mark: F.instr("html", mark)
+    cut = lambda mark: F.substr("html", at(mark) + len(mark), L(40))
+    annotated, inferred = at("<article>") > 0, at("<p>") > 0
+    return t.pages.select("page_id", F.when(annotated, "annotated").when(inferred, "inferred").otherwise("none").alias("basis"), F.when(annotated, cut("<article>")).when(inferred, cut("<p>")).otherwise("").alias("segment"), F.when(annotated | inferred, "").otherwise("no segment found").alias("reason"))
+
+
+@query("""
+SELECT d.doc_id, concat(rpad(coalesce(h.block, ''), 12, '-'), rpad(coalesce(m.block, ''), 20, '-'), rpad(coalesce(x.block, ''), 12, '-')) AS stitched,
+  concat_ws(';', CASE WHEN h.block IS NULL THEN 'head: too short' END, CASE WHEN m.block IS NULL THEN 'core: not labelled' END, CASE WHEN x.block IS NULL THEN 'tail: too short' END) AS absent
+FROM documents d LEFT JOIN (SELECT doc_id, text[1:12] AS block FROM documents WHERE n_chars >= 100) h ON h.doc_id = d.doc_id
+LEFT JOIN (SELECT b.doc_id, substr(text, 50, 20) AS block FROM documents b JOIN labels l ON l.doc_id = b.doc_id) m ON m.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, substr(text, 80, 12) AS block FROM documents WHERE n_chars >= 500) x ON x.doc_id = d.doc_id""")
+def q_stitch_blocks(t):
+    """Three blocks side by side in one row; an absent block is padded, and why it is absent is kept."""
+    d = t.documents
+    head = d.filter("n_chars >= 100").select("doc_id", F.substring("text", 1, 12).alias("head"))
+    core = d.join(t.labels.select("doc_id"), "doc_id").select("doc_id", F.substring("text", 50, 20).alias("core"))
+    tail = d.filter("n_chars >= 500").select("doc_id", F.substring("text", 80, 12).alias("tail"))
+    rows = d.select("doc_id").join(head, "doc_id", "left").join(core, "doc_id", "left").join(tail, "doc_id", "left")
+    block = lambda c, w: F.rpad(F.coalesce(c, L("")), w, "-")
+    why = lambda c, reason: F.when(F.col(c).isNull(), f"{c}: {reason}")
+    return rows.select("doc_id", F.concat(block("head", 12), block("core", 20), block("tail", 12)).alias("stitched"), F.concat_ws(";", why("head", "too short"), why("core", "not labelled"), why("tail", "too short")).alias("absent"))
+
+
+@query("""
+WITH l AS (SELECT vec_id AS land, embedding AS e FROM embeddings WHERE vec_id < 20), p AS (
+  SELECT v.vec_id, land, len(list_filter(list_zip(v.embedding, l.e), lambda z: abs(z[1]) > 0.05 AND abs(z[2]) > 0.05)) AS shared FROM embeddings v, l)
+SELECT vec_id, count(*) FILTER (shared >= 10)::BIGINT AS resolved, quantile_cont(shared, 0.5)::DOUBLE AS median_shared, count(*) FILTER (shared >= 10) >= 18 AND quantile_cont(shared, 0.5) >= 12 AS confident FROM p GROUP BY 1""")
+def q_landmark_confidence(t):
+    """Each row against twenty landmarks: how many can be compared, and over how many columns."""
+    e = t.embeddings
+    readable = lambda x: F.abs(x) > 0.05
+    marks = e.filter("vec_id < 20").agg(F.sort_array(F.collect_list(F.struct("vec_id", "embedding"))).alias("m")).scalar()
+    rows = e.select("vec_id", "embedding", F.explode(marks).alias("l"))
+    shared = F.size(F.filter(F.zip_with("embedding", F.col("l.embedding"), lambda x, y: readable(x) & readable(y)), lambda z: z))
+    counts = rows.select("vec_id", shared.alias("shared")).groupBy("vec_id").agg(F.count_if(F.col("shared") >= 10).alias("resolved"), F.percentile("shared", 0.5).alias("median_shared"))
+    return counts.withColumn("confident", (F.col("resolved") >= 18) & (F.col("median_shared") >= 12))
+
+
+@query("""
+WITH v AS (SELECT vec_id, embedding[1:8] AS e FROM embeddings WHERE vec_id < 30), d AS (SELECT a.vec_id AS a, b.vec_id AS b, list_sum(list_transform(list_zip(a.e, b.e), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) ** 2)) AS s FROM v a, v b)
+SELECT a, b, round(-0.5 * (s - avg(s) OVER (PARTITION BY a) - avg(s) OVER (PARTITION BY b) + avg(s) OVER ()), 6) + 0.0 AS centered FROM d""")
+def q_double_center(t):
+    """Squared distances of thirty rows without their row, column and grand means."""
+    from pyspark.sql import Window
+
+    v = t.embeddings.filter("vec_id < 30").select("vec_id", F.posexplode(F.slice("embedding", 1, 8)).alias("i", "x"))
+    a, b = v.select(F.col("vec_id").alias("a"), "i", F.col("x").cast("double").alias("x")), v.select(F.col("vec_id").alias("b"), "i", F.col("x").cast("double").alias("y"))
+    d = a.join(b, "i").groupBy("a", "b").agg(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y"))).alias("s"))
+    mean = lambda *keys: F.avg("s").over(Window.partitionBy(*keys))
+    return d.select("a", "b", (F.round(-0.5 * (F.col("s") - mean("a") - mean("b") + mean()), 6) + 0.0).alias("centered"))
+
+
+@query()
+def q_pairwise_align(t):
+    """Global alignments of twenty items with free ends, in batches."""
+    items = t.benchmark.orderBy("item_id").limit(20).select("item_id", F.substring("text", 1, 120).alias("s"))
+    pairs = items.select(F.col("item_id").alias("a"), F.col("s").alias("p")).join(items.select(F.col("item_id").alias("b"), F.col("s").alias("q")), F.col("a") < F.col("b"))
+
+    def run(batches):
+        for pdf in batches:
+            got = [pairwise.align(p, q) for p, q in zip(pdf.p, pdf.q, strict=True)]
+            yield pd.DataFrame({"a": pdf.a, "b": pdf.b, "score": [g[0] for g in got], "width": [len(g[1]) for g in got]})
+
+    return pairs.mapInPandas(run, "a long, b long, score double, width long")
+
+
+def _codes(pdf):
+    x = np.stack(pdf.embedding.to_numpy())
+    return np.where(np.abs(x) < 0.02, 0, np.clip(np.round((x + 1) * 2), 1, 5)).astype(int)
+
+
+@query()
+def q_comparable_set(t):
+    """A greedy set of rows all of which can be compared with each other."""
+
+    def run(pdf):
+        d, shared = distance.masked_distances(_codes(pdf), floor=44)
+        chosen = distance.comparable_set(d, [0], 40)
+        return pd.DataFrame({"vec_id": pdf.vec_id.iloc[chosen], "least_shared": [int(shared[i][chosen].min()) for i in chosen]})
+
+    return distance.in_one_group(t.embeddings, run, "vec_id long, least_shared long", 200, "vec_id")
+
+
+@query()
+def q_mds_embed(t):
+    """Landmarks by classical scaling, the other rows placed among them."""
+
+    def run(pdf):
+        d = distance.cosine(pdf)
+        k = min(60, len(pdf))
+        coords, explained, negative = distance.scale(d[:k, :k])
+        rest = distance.place(d[k:, :k], d[:k, :k], coords)
+        xy = np.vstack([coords, rest])
+        return pd.DataFrame({"vec_id": pdf.vec_id, "x": xy[:, 0].round(6), "y": xy[:, 1].round(6), "landmark": np.arange(len(pdf)) < k, "explained": explained, "negative": negative})
+
+    return distance.in_one_group(t.embeddings, run, "vec_id long, x double, y double, landmark boolean, explained double, negative double", 300, "vec_id")
+
+
+@query()
+def q_nj_tree(t):
+    """A rooted neighbor-joining tree of forty rows, with its layout."""
+
+    def run(pdf):
+        edges, low, total = distance.clamp(distance.neighbor_joining(distance.cosine(pdf)))
+        edges = distance.midpoint_root(edges)
+        at = distance.ladder_layout(edges)
+        return pd.DataFrame([{"parent": p, "child": c, "length": round(x, 6), "x": round(at[c][0], 6), "y": at[c][1], "tips": at[c][2], "clamped": low, "clamped_total": total} for p, c, x in edges])
+
+    return distance.in_one_group(t.embeddings, run, "parent long, child long, length double, x double, y double, tips long, clamped long, clamped_total double", 40, "vec_id")
