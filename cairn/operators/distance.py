@@ -1,17 +1,19 @@
 """Comparable sets, classical scaling and neighbor joining.
 
-The number of rows that these operators take is a parameter with a bound (`limit`), as a full matrix
-of them is built; they run in one grouped task, never on the driver.
+A full matrix is built of landmarks only: means of groups, summed by Spark over all rows, of which there
+are at most MAX_LANDMARKS.  All other rows are placed among them where they lie.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MAX_LANDMARKS = 512
+
+
 def masked_distances(x: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
     """Share of differing columns among those both rows can read (code > 0), NaN below `floor` of them; and their number."""
     readable = (x > 0).astype(np.float64)
@@ -167,15 +169,20 @@ def ladder_layout(edges: list[tuple[int, int, float]]) -> dict[int, tuple[float,
     return {v: (x[v], y[v], size[v]) for v in walk}
 
 
-def in_one_group(rows: DataFrame, function, schema: str, limit: int, order: str) -> DataFrame:
-    """`function` of the first `limit` rows by `order`, in one task: for operators that need a full matrix."""
-    some = rows.orderBy(order).limit(limit)
-    return some.groupBy(F.lit(0)).applyInPandas(lambda pdf: function(pdf.sort_values(order).reset_index(drop=True)), schema)
+def means(rows: DataFrame, group: str, vector: str) -> DataFrame:
+    """(group, i, x): the mean of each dimension of each group's vectors."""
+    return rows.select(group, F.posexplode(vector).alias("i", "v")).groupBy(group, "i").agg(F.avg(F.col("v").cast("double")).alias("x"))
+
+
+def landmarks(rows: DataFrame, group: str, vector: str) -> tuple[list, np.ndarray]:
+    """The groups and their mean vectors: Spark sums all rows, at most MAX_LANDMARKS means come to the driver."""
+    packed = means(rows, group, vector).groupBy(group).agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
+    got = packed.filter(F.col(group).isNotNull()).orderBy(group).limit(MAX_LANDMARKS).collect()
+    return [r[0] for r in got], np.array([[p["x"] for p in r["v"]] for r in got])
 
 
-def cosine(pdf: pd.DataFrame, column: str = "embedding") -> np.ndarray:
-    x = np.stack(pdf[column].to_numpy())
-    x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    d = np.maximum(0, 1 - x @ x.T)
-    np.fill_diagonal(d, 0)
-    return (d + d.T) / 2
+def cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosine distances of the rows of x and those of y, round-off below 1e-12 taken as none."""
+    unit = lambda z: z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
+    d = np.maximum(0, 1 - unit(x) @ unit(y).T)
+    return np.where(d < 1e-12, 0, d)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 MATCH, MISMATCH, OPEN, EXTEND = 2.0, -1.0, -50.0, -10.0
+#: letters beyond either end of a seeded overlap that an alignment may use
+MARGIN = 20
 
 
 def align(a: str, b: str, match: float = MATCH, mismatch: float = MISMATCH, open_: float = OPEN, extend: float = EXTEND) -> tuple[float, str, str]:

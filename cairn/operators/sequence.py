@@ -53,9 +53,9 @@ def divergence(rows: DataFrame, readable: str | None = None) -> DataFrame:
     return out.withColumn("mismatches", count_pairs(F.col("q"), F.col("r"), lambda x, y: ok(x, y) & (x != y)))
 
 
-def columns_of(df: DataFrame, group: str, key: str, text: str, width: int) -> DataFrame:
-    """(group, key, position, letter) of the first `width` letters of each row."""
-    letters = F.filter(F.split(F.substring(text, 1, width), ""), lambda x: x != "")
+def columns_of(df: DataFrame, group: str, key: str, text: str) -> DataFrame:
+    """(group, key, position, letter) of the letters of each row."""
+    letters = F.filter(F.split(text, ""), lambda x: x != "")
     return df.select(group, key, F.posexplode(letters).alias("position", "letter"))
 
 

@@ -58,24 +58,24 @@ def q_fallback_measure(t):
     return by_doc.select("doc_id", F.coalesce("full", "any").alias("mismatches"), F.when(F.col("full").isNotNull(), "long").otherwise("fallback").alias("basis"))
 
 
-_COLUMNS = "c AS (SELECT lang, doc_id, i - 1 AS position, substr(text, i, 1) AS letter FROM documents, range(1, least(40, length(text)) + 1) g(i)), n AS (SELECT lang, position, letter, count(*) AS n, min(doc_id) AS first FROM c GROUP BY 1, 2, 3)"
+_COLUMNS = "c AS (SELECT lang, doc_id, i - 1 AS position, letter FROM (SELECT lang, doc_id, unnest(string_split(text, '')) AS letter, generate_subscripts(string_split(text, ''), 1) AS i FROM documents) WHERE letter <> ''), n AS (SELECT lang, position, letter, count(*) AS n, min(doc_id) AS first FROM c GROUP BY 1, 2, 3)"
 
 
 @query(f"WITH {_COLUMNS} SELECT lang, position::BIGINT AS position, letter, n::BIGINT AS n FROM (SELECT *, row_number() OVER (PARTITION BY lang, position ORDER BY n DESC, first) AS i FROM n) WHERE i = 1")
 def q_column_consensus(t):
-    columns = seq.columns_of(t.documents, "lang", "doc_id", "text", 40)
+    columns = seq.columns_of(t.documents, "lang", "doc_id", "text")
     return seq.consensus(columns, "lang", "doc_id", first_seen=True).withColumn("position", F.col("position").cast("long"))
 
 
 @query(f"WITH {_COLUMNS} SELECT lang, position::BIGINT AS position, CASE WHEN letter = '-' THEN '0' ELSE letter END AS code, n::BIGINT AS n FROM (SELECT *, row_number() OVER (PARTITION BY lang, position ORDER BY n DESC, ord(letter)) AS i FROM n) WHERE i = 1")
 def q_column_consensus_code(t):
-    columns = seq.columns_of(t.documents, "lang", "doc_id", "text", 40)
+    columns = seq.columns_of(t.documents, "lang", "doc_id", "text")
     rows = seq.consensus(columns, "lang", "doc_id", first_seen=False)
     return rows.select("lang", F.col("position").cast("long").alias("position"), F.when(F.col("letter") == "-", "0").otherwise(F.col("letter")).alias("code"), "n")
 
 
 _CODONS = f"""
-k AS (SELECT doc_id, lang, i, substr(b, 3 * i + 1, 3) AS codon FROM (SELECT doc_id, lang, {_BASES} AS b FROM documents) s, range(0, 20) g(i) WHERE length(b) >= 3 * i + 3),
+k AS (SELECT doc_id, lang, generate_subscripts(ks, 1) AS i, unnest(ks) AS codon FROM (SELECT doc_id, lang, regexp_extract_all({_BASES}, '[A-Z][A-Z][A-Z]') AS ks FROM documents) s),
 a AS (SELECT *, CASE WHEN instr(codon, 'N') > 0 THEN 'X' ELSE substr('{AMINO_ACIDS}', (instr('TCAG', codon[1]) - 1) * 16 + (instr('TCAG', codon[2]) - 1) * 4 + instr('TCAG', codon[3]), 1) END AS aa FROM k)"""
 
 
@@ -112,30 +112,30 @@ def q_codon_classify(t):
 
 @query(r"""
 SELECT page_id, CASE WHEN instr(html, '<article>') > 0 THEN 'annotated' WHEN instr(html, '<p>') > 0 THEN 'inferred' ELSE 'none' END AS basis,
-  CASE WHEN instr(html, '<article>') > 0 THEN substr(html, instr(html, '<article>') + 9, 40) WHEN instr(html, '<p>') > 0 THEN substr(html, instr(html, '<p>') + 3, 40) ELSE '' END AS segment,
+  CASE WHEN instr(html, '<article>') > 0 THEN split_part(substr(html, instr(html, '<article>') + 9), '</article>', 1) WHEN instr(html, '<p>') > 0 THEN split_part(substr(html, instr(html, '<p>') + 3), '</p>', 1) ELSE '' END AS segment,
   CASE WHEN instr(html, '<article>') = 0 AND instr(html, '<p>') = 0 THEN 'no segment found' ELSE '' END AS reason FROM pages""")
 def q_segment_fallback(t):
     """The annotated segment, else one inferred, else none and why."""
     at = lambda mark: F.instr("html", mark)
-    cut = lambda mark: F.substr("html", at(mark) + len(mark), L(40))
+    cut = lambda mark: F.substring_index(F.substr("html", at(mark) + len(mark)), mark.replace("<", "</"), 1)
     annotated, inferred = at("<article>") > 0, at("<p>") > 0
     return t.pages.select("page_id", F.when(annotated, "annotated").when(inferred, "inferred").otherwise("none").alias("basis"), F.when(annotated, cut("<article>")).when(inferred, cut("<p>")).otherwise("").alias("segment"), F.when(annotated | inferred, "").otherwise("no segment found").alias("reason"))
 
 
 @query("""
-SELECT d.doc_id, concat(rpad(coalesce(h.block, ''), 12, '-'), rpad(coalesce(m.block, ''), 20, '-'), rpad(coalesce(x.block, ''), 12, '-')) AS stitched,
+SELECT d.doc_id, concat(coalesce(h.block, '------------'), coalesce(m.block, '--------------------'), coalesce(x.block, '------------')) AS stitched,
   concat_ws(';', CASE WHEN h.block IS NULL THEN 'head: too short' END, CASE WHEN m.block IS NULL THEN 'core: not labelled' END, CASE WHEN x.block IS NULL THEN 'tail: too short' END) AS absent
-FROM documents d LEFT JOIN (SELECT doc_id, text[1:12] AS block FROM documents WHERE n_chars >= 100) h ON h.doc_id = d.doc_id
-LEFT JOIN (SELECT b.doc_id, substr(text, 50, 20) AS block FROM documents b JOIN labels l ON l.doc_id = b.doc_id) m ON m.doc_id = d.doc_id
-LEFT JOIN (SELECT doc_id, substr(text, 80, 12) AS block FROM documents WHERE n_chars >= 500) x ON x.doc_id = d.doc_id""")
+FROM documents d LEFT JOIN (SELECT doc_id, split_part(text, chr(10), 1) AS block FROM documents WHERE n_chars >= 100) h ON h.doc_id = d.doc_id
+LEFT JOIN (SELECT b.doc_id, split_part(text, chr(10), 2) AS block FROM documents b JOIN labels l ON l.doc_id = b.doc_id) m ON m.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, split_part(text, chr(10), -1) AS block FROM documents WHERE n_chars >= 500) x ON x.doc_id = d.doc_id""")
 def q_stitch_blocks(t):
-    """Three blocks side by side in one row; an absent block is padded, and why it is absent is kept."""
+    """Three blocks side by side in one row; an absent block is a run of gaps, and why it is absent is kept."""
     d = t.documents
-    head = d.filter("n_chars >= 100").select("doc_id", F.substring("text", 1, 12).alias("head"))
-    core = d.join(t.labels.select("doc_id"), "doc_id").select("doc_id", F.substring("text", 50, 20).alias("core"))
-    tail = d.filter("n_chars >= 500").select("doc_id", F.substring("text", 80, 12).alias("tail"))
+    head = d.filter("n_chars >= 100").select("doc_id", F.split_part("text", L("\n"), L(1)).alias("head"))
+    core = d.join(t.labels.select("doc_id"), "doc_id").select("doc_id", F.split_part("text", L("\n"), L(2)).alias("core"))
+    tail = d.filter("n_chars >= 500").select("doc_id", F.split_part("text", L("\n"), L(-1)).alias("tail"))
     rows = d.select("doc_id").join(head, "doc_id", "left").join(core, "doc_id", "left").join(tail, "doc_id", "left")
-    block = lambda c, w: F.rpad(F.coalesce(c, L("")), w, "-")
+    block = lambda c, w: F.coalesce(c, L("-" * w))
     why = lambda c, reason: F.when(F.col(c).isNull(), f"{c}: {reason}")
     return rows.select("doc_id", F.concat(block("head", 12), block("core", 20), block("tail", 12)).alias("stitched"), F.concat_ws(";", why("head", "too short"), why("core", "not labelled"), why("tail", "too short")).alias("absent"))
 
@@ -156,14 +156,15 @@ def q_landmark_confidence(t):
 
 
 @query("""
-WITH v AS (SELECT vec_id, embedding[1:8] AS e FROM embeddings WHERE vec_id < 30), d AS (SELECT a.vec_id AS a, b.vec_id AS b, list_sum(list_transform(list_zip(a.e, b.e), lambda z: (z[1]::DOUBLE - z[2]::DOUBLE) ** 2)) AS s FROM v a, v b)
+WITH x AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings), v AS (SELECT label, i, avg(x::DOUBLE) AS x FROM x GROUP BY 1, 2),
+d AS (SELECT a.label AS a, b.label AS b, sum((a.x - b.x) ** 2) AS s FROM v a JOIN v b ON a.i = b.i GROUP BY 1, 2)
 SELECT a, b, round(-0.5 * (s - avg(s) OVER (PARTITION BY a) - avg(s) OVER (PARTITION BY b) + avg(s) OVER ()), 6) + 0.0 AS centered FROM d""")
 def q_double_center(t):
-    """Squared distances of thirty rows without their row, column and grand means."""
+    """Squared distances of the groups' means without their row, column and grand means."""
     from pyspark.sql import Window
 
-    v = t.embeddings.filter("vec_id < 30").select("vec_id", F.posexplode(F.slice("embedding", 1, 8)).alias("i", "x"))
-    a, b = v.select(F.col("vec_id").alias("a"), "i", F.col("x").cast("double").alias("x")), v.select(F.col("vec_id").alias("b"), "i", F.col("x").cast("double").alias("y"))
+    v = distance.means(t.embeddings, "label", "embedding")
+    a, b = v.select(F.col("label").alias("a"), "i", "x"), v.select(F.col("label").alias("b"), "i", F.col("x").alias("y"))
     d = a.join(b, "i").groupBy("a", "b").agg(F.sum((F.col("x") - F.col("y")) * (F.col("x") - F.col("y"))).alias("s"))
     mean = lambda *keys: F.avg("s").over(Window.partitionBy(*keys))
     return d.select("a", "b", (F.round(-0.5 * (F.col("s") - mean("a") - mean("b") + mean()), 6) + 0.0).alias("centered"))
@@ -171,58 +172,55 @@ def q_double_center(t):
 
 @query()
 def q_pairwise_align(t):
-    """Global alignments of twenty items with free ends, in batches."""
-    items = t.benchmark.orderBy("item_id").limit(20).select("item_id", F.substring("text", 1, 120).alias("s"))
-    pairs = items.select(F.col("item_id").alias("a"), F.col("s").alias("p")).join(items.select(F.col("item_id").alias("b"), F.col("s").alias("q")), F.col("a") < F.col("b"))
+    """Each item against the part of a document around their best diagonal, ends free, in batches."""
+    hits = seq.diagonals(t.documents, t.benchmark).join(t.benchmark.select("item_id", F.col("text").alias("p")), "item_id").join(t.documents.select("doc_id", "text"), "doc_id")
+    start = F.greatest(L(0), -F.col("diag") - pairwise.MARGIN).cast("int")
+    end = (F.length("p") - F.col("diag") + pairwise.MARGIN).cast("int")
+    pairs = hits.select("doc_id", "item_id", "p", F.substr("text", start + 1, end - start).alias("q"))
 
     def run(batches):
         for pdf in batches:
             got = [pairwise.align(p, q) for p, q in zip(pdf.p, pdf.q, strict=True)]
-            yield pd.DataFrame({"a": pdf.a, "b": pdf.b, "score": [g[0] for g in got], "width": [len(g[1]) for g in got]})
+            yield pd.DataFrame({"doc_id": pdf.doc_id, "item_id": pdf.item_id, "score": [g[0] for g in got], "width": [len(g[1]) for g in got]})
 
-    return pairs.mapInPandas(run, "a long, b long, score double, width long")
+    return pairs.mapInPandas(run, "doc_id long, item_id long, score double, width long")
 
 
-def _codes(pdf):
-    x = np.stack(pdf.embedding.to_numpy())
+def _codes(x):
     return np.where(np.abs(x) < 0.02, 0, np.clip(np.round((x + 1) * 2), 1, 5)).astype(int)
 
 
 @query()
 def q_comparable_set(t):
-    """A greedy set of rows all of which can be compared with each other."""
-
-    def run(pdf):
-        d, shared = distance.masked_distances(_codes(pdf), floor=44)
-        chosen = distance.comparable_set(d, [0], 40)
-        return pd.DataFrame({"vec_id": pdf.vec_id.iloc[chosen], "least_shared": [int(shared[i][chosen].min()) for i in chosen]})
-
-    return distance.in_one_group(t.embeddings, run, "vec_id long, least_shared long", 200, "vec_id")
+    """A greedy set of group means all of which can be compared with each other."""
+    labels, x = distance.landmarks(t.embeddings, "label", "embedding")
+    d, shared = distance.masked_distances(_codes(x), floor=20)
+    chosen = distance.comparable_set(d, [0] if labels else [], 40)
+    return t.spark.createDataFrame([(labels[i], int(shared[i][chosen].min())) for i in chosen], "label int, least_shared long")
 
 
 @query()
 def q_mds_embed(t):
-    """Landmarks by classical scaling, the other rows placed among them."""
+    """Landmarks, the groups' means, by classical scaling; every row is placed among them."""
+    labels, x = distance.landmarks(t.embeddings, "label", "embedding")
+    d = distance.cosine(x, x)
+    coords, explained, negative = distance.scale(d)
 
-    def run(pdf):
-        d = distance.cosine(pdf)
-        k = min(60, len(pdf))
-        coords, explained, negative = distance.scale(d[:k, :k])
-        rest = distance.place(d[k:, :k], d[:k, :k], coords)
-        xy = np.vstack([coords, rest])
-        return pd.DataFrame({"vec_id": pdf.vec_id, "x": xy[:, 0].round(6), "y": xy[:, 1].round(6), "landmark": np.arange(len(pdf)) < k, "explained": explained, "negative": negative})
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                xy = distance.place(distance.cosine(np.stack(pdf.embedding.to_numpy()), x), d, coords)
+                yield pd.DataFrame({"vec_id": pdf.vec_id, "x": xy[:, 0].round(6), "y": xy[:, 1].round(6), "explained": explained, "negative": negative})
 
-    return distance.in_one_group(t.embeddings, run, "vec_id long, x double, y double, landmark boolean, explained double, negative double", 300, "vec_id")
+    return t.embeddings.select("vec_id", "embedding").mapInPandas(run, "vec_id long, x double, y double, explained double, negative double")
 
 
 @query()
 def q_nj_tree(t):
-    """A rooted neighbor-joining tree of forty rows, with its layout."""
-
-    def run(pdf):
-        edges, low, total = distance.clamp(distance.neighbor_joining(distance.cosine(pdf)))
-        edges = distance.midpoint_root(edges)
-        at = distance.ladder_layout(edges)
-        return pd.DataFrame([{"parent": p, "child": c, "length": round(x, 6), "x": round(at[c][0], 6), "y": at[c][1], "tips": at[c][2], "clamped": low, "clamped_total": total} for p, c, x in edges])
-
-    return distance.in_one_group(t.embeddings, run, "parent long, child long, length double, x double, y double, tips long, clamped long, clamped_total double", 40, "vec_id")
+    """A rooted neighbor-joining tree of the groups' means, with its layout."""
+    labels, x = distance.landmarks(t.embeddings, "label", "embedding")
+    edges, low, total = distance.clamp(distance.neighbor_joining(distance.cosine(x, x)))
+    edges = distance.midpoint_root(edges) if edges else []
+    at = distance.ladder_layout(edges) if edges else {}
+    rows = [(p, c, labels[c] if c < len(labels) else None, round(length, 6), round(at[c][0], 6), float(at[c][1]), at[c][2], low, float(total)) for p, c, length in edges]
+    return t.spark.createDataFrame(rows, "parent long, child long, label int, length double, x double, y double, tips long, clamped long, clamped_total double")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import relational as rel
+from ..operators import sequence as seq
 from .registry import ansi, query
 
 L = F.lit
@@ -86,19 +87,18 @@ SELECT fate, COUNT(*) AS n, MIN(n_chars) AS shortest, MAX(n_chars) AS longest FR
 
 
 @query("""
-WITH d AS (SELECT doc_id, rpad(text[1:64], 64, ' ') AS s FROM documents WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 40))
-SELECT a.doc_id AS a, b.doc_id AS b, shared, matches, CASE WHEN shared >= 40 THEN round(1 - matches / shared, 6) END AS distance FROM (
-  SELECT a.doc_id AS ai, b.doc_id AS bi, count(*) FILTER (regexp_matches(substr(a.s, i, 1), '[a-z]') AND regexp_matches(substr(b.s, i, 1), '[a-z]'))::BIGINT AS shared,
-    count(*) FILTER (regexp_matches(substr(a.s, i, 1), '[a-z]') AND substr(a.s, i, 1) = substr(b.s, i, 1))::BIGINT AS matches
-  FROM d a JOIN d b ON a.doc_id < b.doc_id, range(1, 65) r(i) GROUP BY 1, 2) x JOIN d a ON a.doc_id = ai JOIN d b ON b.doc_id = bi""")
+WITH c AS (SELECT lang, i, letter, count(*) AS n FROM (SELECT lang, unnest(string_split(text, '')) AS letter, generate_subscripts(string_split(text, ''), 1) AS i FROM documents) WHERE letter <> '' GROUP BY 1, 2, 3),
+r AS (SELECT lang, i, arg_max(letter, n * 2000000 - ord(letter)) AS letter FROM c GROUP BY 1, 2)
+SELECT a, b, shared, matches, CASE WHEN shared >= 40 THEN round(1 - matches / shared, 6) END AS distance FROM (
+  SELECT p.lang AS a, q.lang AS b, count(*) FILTER (regexp_matches(p.letter, '^[a-z]$') AND regexp_matches(q.letter, '^[a-z]$'))::BIGINT AS shared, count(*) FILTER (regexp_matches(p.letter, '^[a-z]$') AND p.letter = q.letter)::BIGINT AS matches
+  FROM r p JOIN r q ON p.i = q.i AND p.lang < q.lang GROUP BY 1, 2)""")
 def q_masked_distance(t):
-    """All pairs of a stated small set of rows; columns that either row cannot read do not count."""
-    d = t.documents.orderBy("doc_id").limit(40).select("doc_id", F.rpad(F.substring("text", 1, 64), 64, " ").alias("s"))
-    letters = d.select("doc_id", F.posexplode(F.split("s", "")).alias("i", "x")).filter(F.col("i") < 64)
-    a = letters.select(F.col("doc_id").alias("a"), "i", F.col("x").alias("p"))
-    b = letters.select(F.col("doc_id").alias("b"), "i", F.col("x").alias("q"))
-    pairs = a.join(b, "i").filter("a < b")
-    readable = F.col("p").rlike("[a-z]") & F.col("q").rlike("[a-z]")
+    """Distances of the groups' consensus rows; columns that either row cannot read do not count."""
+    rows = seq.consensus(seq.columns_of(t.documents, "lang", "doc_id", "text"), "lang", "doc_id", first_seen=False)
+    a = rows.select(F.col("lang").alias("a"), "position", F.col("letter").alias("p"))
+    b = rows.select(F.col("lang").alias("b"), "position", F.col("letter").alias("q"))
+    pairs = a.join(b, "position").filter("a < b")
+    readable = F.col("p").rlike("^[a-z]$") & F.col("q").rlike("^[a-z]$")
     out = pairs.groupBy("a", "b").agg(F.count_if(readable).alias("shared"), F.count_if(readable & (F.col("p") == F.col("q"))).alias("matches"))
     return out.withColumn("distance", F.when(F.col("shared") >= 40, F.round(1 - F.col("matches") / F.col("shared"), 6)))
 

@@ -35,9 +35,9 @@ def q_split_explode(t):
     return t.part.select("p_partkey", F.posexplode(names).alias("i", "name")).select("p_partkey", (F.col("i") + 1).cast("long").alias("ordinal"), "name")
 
 
-@query("SELECT doc_id, reverse(translate(text[1:60], 'ACGTUacgtu', 'TGCAAtgcaa')) AS rc FROM documents")
+@query("SELECT doc_id, reverse(translate(text, 'ACGTUacgtu', 'TGCAAtgcaa')) AS rc FROM documents")
 def q_reverse_complement(t):
-    return t.documents.select("doc_id", text.reverse_complement(F.substring("text", 1, 60)).alias("rc"))
+    return t.documents.select("doc_id", text.reverse_complement(F.col("text")).alias("rc"))
 
 
 @query("""
@@ -109,9 +109,9 @@ _REFINE = (("(?i)the [a-z]*n[a-z]* ", "wild"), ("(?i)de la ", "vaccine"), ("(?i)
 
 @query("""
 SELECT doc_id, CASE WHEN hit IN ('vaccine', 'wild', 'clone') THEN hit ELSE '' END AS refinement FROM (
-  SELECT doc_id, CASE """ + " ".join(f"WHEN regexp_matches(t, '{p}') THEN '{v}'" for p, v in _REFINE) + """ END AS hit FROM (SELECT doc_id, concat_ws(' ', lang, source, text[1:200]) AS t FROM documents))""")
+  SELECT doc_id, CASE """ + " ".join(f"WHEN regexp_matches(t, '{p}') THEN '{v}'" for p, v in _REFINE) + """ END AS hit FROM (SELECT doc_id, concat_ws(' ', lang, source, text) AS t FROM documents))""")
 def q_text_refinement(t):
-    joined = F.concat_ws(" ", "lang", "source", F.substring("text", 1, 200))
+    joined = F.concat_ws(" ", "lang", "source", "text")
     hit = F.coalesce(*[F.when(joined.rlike(p), v) for p, v in _REFINE])
     return t.documents.select("doc_id", F.when(hit.isin(*_VOCABULARY), hit).otherwise("").alias("refinement"))
 
@@ -210,25 +210,25 @@ def q_json_leaves(t):
 @query("""
 SELECT doc_id, list_distinct_ordered AS words, len(string_split(list_distinct_ordered, ' '))::BIGINT AS n FROM (
   SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS list_distinct_ordered FROM (
-    SELECT doc_id, w, min(i) AS i FROM (SELECT doc_id, unnest(string_split(text, ' ')[1:20]) AS w, generate_subscripts(string_split(text, ' ')[1:20], 1) AS i FROM documents) GROUP BY 1, 2) GROUP BY 1)""")
+    SELECT doc_id, w, min(i) AS i FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents) GROUP BY 1, 2) GROUP BY 1)""")
 def q_array_distinct(t):
-    words = F.array_distinct(F.slice(F.split("text", " "), 1, 20))
+    words = F.array_distinct(F.split("text", " "))
     return t.documents.select("doc_id", F.array_join(words, " ").alias("words"), F.size(words).cast("long").alias("n"))
 
 
-@query("SELECT doc_id, ceil(length(text[1:700]) / 70.0)::BIGINT AS n_lines, CASE WHEN length(text) = 0 THEN 0 ELSE (length(text[1:700]) - 1) % 70 + 1 END::BIGINT AS last_length FROM documents")
+@query("SELECT doc_id, ceil(length(text) / 70.0)::BIGINT AS n_lines, CASE WHEN length(text) = 0 THEN 0 ELSE (length(text) - 1) % 70 + 1 END::BIGINT AS last_length FROM documents")
 def q_fasta_wrap(t):
-    wrapped = F.split(F.regexp_replace(F.translate(F.substring("text", 1, 700), "\r\n", "  "), r"(.{70})(?!$)", "$1\n"), "\n")
+    wrapped = F.split(F.regexp_replace(F.translate("text", "\r\n", "  "), r"(?s)(.{70})(?!\z)", "$1\n"), "\n")
     return t.documents.select("doc_id", F.when(F.length("text") == 0, 0).otherwise(F.size(wrapped)).cast("long").alias("n_lines"), F.length(F.element_at(wrapped, -1)).cast("long").alias("last_length"))
 
 
-_CODE = "translate(lower(text[1:64]), 'acgtun', '123445')"
+_CODE = "translate(lower(text), 'acgtun', '123445')"
 
 
 @query(f"""
 SELECT doc_id, regexp_replace({_CODE}, '[^1-5]', '0', 'g') AS codes, length(regexp_replace({_CODE}, '[^1-4]', '', 'g'))::BIGINT AS readable FROM documents""")
 def q_alphabet_encode(t):
-    code = F.translate(F.lower(F.substring("text", 1, 64)), "acgtun", "123445")
+    code = F.translate(F.lower("text"), "acgtun", "123445")
     return t.documents.select("doc_id", F.regexp_replace(code, "[^1-5]", "0").alias("codes"), F.length(F.regexp_replace(code, "[^1-4]", "")).cast("long").alias("readable"))
 
 
@@ -250,11 +250,11 @@ def q_clamp(t):
 
 #: the standard genetic code, in the order T C A G of each position
 AMINO_ACIDS = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
-_BASES = "translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g'))[1:60], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACCCGGGTTTAACCNGTACGTTACGT')"
+_BASES = "translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACCCGGGTTTAACCNGTACGTTACGT')"
 
 
-def _bases(n=60):
-    letters = F.substring(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), 1, n)
+def _bases():
+    letters = F.upper(F.regexp_replace("text", "[^A-Za-z]", ""))
     return F.translate(letters, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ACCCGGGTTTAACCNGTACGTTACGT")
 
 
@@ -267,8 +267,8 @@ def translate_codon(codon):
 
 
 @query(f"""
-WITH c AS (SELECT doc_id, b, i FROM (SELECT doc_id, {_BASES} AS b FROM documents) d, range(0, 20) r(i) WHERE length(b) >= 3 * i + 3),
-a AS (SELECT doc_id, i, substr(b, 3 * i + 1, 3) AS k FROM c)
+WITH c AS (SELECT doc_id, regexp_extract_all({_BASES}, '[A-Z][A-Z][A-Z]') AS ks FROM documents),
+a AS (SELECT doc_id, generate_subscripts(ks, 1) AS i, unnest(ks) AS k FROM c)
 SELECT doc_id, string_agg(CASE WHEN instr(k, 'N') > 0 THEN 'X' ELSE substr('{AMINO_ACIDS}', (instr('TCAG', k[1]) - 1) * 16 + (instr('TCAG', k[2]) - 1) * 4 + instr('TCAG', k[3]), 1) END, '' ORDER BY i) AS residues, count(*)::BIGINT AS n_codons FROM a GROUP BY 1""")
 def q_translate_codons(t):
     """Whole codons only; a partial codon at the end is dropped."""
@@ -278,22 +278,22 @@ def q_translate_codons(t):
     return codons.groupBy("doc_id").agg(F.array_join(F.transform(residue, lambda x: x["r"]), "").alias("residues"), F.count("*").alias("n_codons"))
 
 
-_GAPPED = "regexp_replace(text[1:30], '[^a-z]', '-', 'g')"
+_GAPPED = "regexp_replace(text, '[^a-z]', '-', 'g')"
 
 
 @query(f"SELECT doc_id, regexp_replace(regexp_replace({_GAPPED}, '([a-z])', '\\1\\1\\1', 'g'), '-', '---', 'g') AS nucleotides, 3 * length({_GAPPED})::BIGINT AS width FROM documents")
 def q_backtranslate(t):
     """A residue becomes its codon, a gap three gaps; the width is three times the residues' exactly."""
-    residues = F.regexp_replace(F.substring("text", 1, 30), "[^a-z]", "-")
+    residues = F.regexp_replace("text", "[^a-z]", "-")
     spread = F.regexp_replace(F.regexp_replace(residues, "([a-z])", "$1$1$1"), "-", "---")
     return t.documents.select("doc_id", spread.alias("nucleotides"), F.length(spread).cast("long").alias("width"))
 
 
-@query("SELECT item_id, concat(rpad(text[1:20], 20, '-'), rpad('', 10, '-'), rpad(text[21:40], 20, '-')) AS projected FROM benchmark")
+@query("SELECT item_id, rpad(text, (SELECT max(length(text)) FROM benchmark)::INTEGER, '-') AS projected FROM benchmark")
 def q_projection(t):
-    """Blocks copied into a gap row of the reference's width."""
-    block = lambda at: F.rpad(F.substring("text", at, 20), 20, "-")
-    return t.benchmark.select("item_id", F.concat(block(1), L("-" * 10), block(21)).alias("projected"))
+    """Each row copied into a gap row as wide as the widest."""
+    width = t.benchmark.agg(F.max(F.length("text"))).scalar()
+    return t.benchmark.withColumn("width", width).select("item_id", F.concat("text", F.repeat(L("-"), F.col("width") - F.length("text"))).alias("projected"))
 
 
 @query("""
@@ -307,11 +307,13 @@ def q_interval_clip(t):
 
 
 @query("""
-WITH r AS (SELECT text[1:40] AS ref FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents))
-SELECT doc_id, string_agg(substr(d.text, i, 1), '' ORDER BY i) AS kept FROM documents d, r, range(1, 41) g(i) WHERE regexp_matches(substr(ref, i, 1), '^[A-Za-z]$') GROUP BY doc_id""")
+WITH r AS (SELECT i FROM (SELECT unnest(string_split(text, '')) AS x, generate_subscripts(string_split(text, ''), 1) AS i FROM documents WHERE doc_id = (SELECT min(doc_id) FROM documents)) WHERE regexp_matches(x, '^[A-Za-z]$')),
+c AS (SELECT doc_id, unnest(string_split(text, '')) AS x, generate_subscripts(string_split(text, ''), 1) AS i FROM documents)
+SELECT d.doc_id, coalesce(k.kept, '') AS kept FROM documents d LEFT JOIN (SELECT doc_id, string_agg(x, '' ORDER BY c.i) AS kept FROM c JOIN r ON c.i = r.i GROUP BY doc_id) k ON k.doc_id = d.doc_id""")
 def q_column_mask(t):
-    """Only the columns at which the reference row has a letter."""
-    ref = t.documents.agg(F.min_by(F.substring("text", 1, 40), "doc_id").alias("ref"))
-    keep = ref.select(F.filter(F.sequence(L(1), F.length("ref")), lambda i: F.substr("ref", i, L(1)).rlike("^[A-Za-z]$")).alias("keep")).scalar()
-    kept = F.array_join(F.transform("keep", lambda i: F.substr("text", i, L(1))), "")
-    return t.documents.withColumn("keep", keep).select("doc_id", kept.alias("kept"))
+    """Only the columns at which the reference row, the first, has a letter."""
+    letters = F.transform(F.split(F.min_by("text", "doc_id"), ""), lambda x: x.rlike("^[A-Za-z]$"))
+    mask = t.documents.agg(letters.alias("mask")).scalar()
+    rows = t.documents.select("doc_id", "text", mask.alias("mask"))
+    kept = F.filter(F.split("text", ""), lambda x, i: F.coalesce(F.get("mask", i), L(False)))
+    return rows.select("doc_id", F.array_join(kept, "").alias("kept"))
