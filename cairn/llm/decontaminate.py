@@ -102,3 +102,20 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the rows of documents that overlap a benchmark item."""
     leaky = overlaps(docs, benchmark).select("doc_id").distinct()
     return docs.join(leaky, "doc_id", "left_anti").select(*docs.columns)
+
+
+_SEED_SQL = ", ".join(f"concat_ws(' ', {m}, {', '.join(f'h[i + {k + 1}]' for k in mask)})" for m, mask in enumerate(MASKS))
+ORACLE_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS h FROM documents WHERE text IS NOT NULL),
+b AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS h FROM benchmark WHERE text IS NOT NULL),
+dw AS (SELECT doc_id, i, unnest([{_SEED_SQL}]) AS seed FROM (SELECT doc_id, h, unnest(range(0, len(h) - {SPAN - 1})) AS i FROM d WHERE len(h) >= {SPAN})),
+bw AS (SELECT item_id, i, unnest([{_SEED_SQL}]) AS seed FROM (SELECT item_id, h, unnest(range(0, len(h) - {SPAN - 1})) AS i FROM b WHERE len(h) >= {SPAN})),
+a AS (SELECT DISTINCT doc_id, item_id, dw.i - bw.i AS start FROM dw JOIN bw ON dw.seed = bw.seed),
+p AS (
+  SELECT doc_id, item_id, start, d.h AS dh, b.h AS bh, greatest(0, -start) AS lo, least(len(b.h), len(d.h) - start) AS hi FROM a JOIN d USING (doc_id) JOIN b USING (item_id)),
+e AS (
+  SELECT doc_id, item_id, start, (hi - lo)::BIGINT AS n_words, len(list_filter(list_zip(dh[start + lo + 1 : start + hi], bh[lo + 1 : hi]), lambda z: z[1] = z[2]))::BIGINT AS n_equal FROM p)
+SELECT doc_id, item_id, start, n_words, n_equal FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, n_words DESC, start) AS rank FROM e WHERE n_equal >= {MIN_WORDS} AND 100 * n_equal >= {MIN_PERCENT} * n_words)
+WHERE rank = 1
+"""

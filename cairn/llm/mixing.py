@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-WEIGHTS, MOST, SLICES, SEED = (5, 2, 1), 3, 256, 17
+WEIGHTS, MOST, SLICES, SEED = (5, 2, 1), 3, 1024, 17
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -53,7 +53,9 @@ def targets(sizes: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Columns `keep` of each row, and size, source_size, target and taken (words, repeats counted)."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    u = (F.xxhash64(F.lit(SEED), "doc_id", "text").bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / F.lit(float(1 << 52))
+    # 52 bits of a hash of the document, as a number between 0 and 1
+    digest = F.md5(F.concat_ws(":", F.lit(SEED), F.col("doc_id").cast("string"), "text"))
+    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
     names = list(dict.fromkeys([*keep, "source", "doc_id"]))
     base = docs.select(*names, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("__size"), (-F.log(u) / quality()).alias("__key"), F.xxhash64("text").alias("__text"))
     base = base.withColumn("__slice", F.floor((1 - F.exp(-F.col("__key"))) * SLICES))
@@ -77,3 +79,23 @@ def mix(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 def op7_efraimidis_spirakis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"), ["doc_id"])
+
+
+ORACLE_SQL = rf"""
+WITH b AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
+    ((('0x' || substr(md5(concat_ws(':', {SEED}, doc_id, text)), 1, 13))::BIGINT)::DOUBLE + 0.5) / {1 << 52} AS u,
+    length(translate(coalesce(text, ''), '#*$%&|<>', '')) / greatest(coalesce(length(text), 1), 1) AS share FROM documents),
+r AS (SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY -ln(u) / greatest(share * share, 0.01), doc_id ROWS UNBOUNDED PRECEDING) AS ends FROM b),
+g AS (SELECT source, sum(size) AS source_size FROM b GROUP BY source),
+w AS (
+  SELECT source, source_size, weight, cap, cap / weight AS full_at FROM (
+    SELECT *, {list(WEIGHTS)}[(row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(WEIGHTS)} + 1]::DOUBLE AS weight, {MOST}::DOUBLE * source_size AS cap FROM g)),
+x AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS try
+  FROM w WINDOW before AS (ORDER BY full_at, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, least(cap, coalesce(max(CASE WHEN try <= full_at THEN try END) OVER (), 0) * weight) AS target FROM x),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size + 1e-12), {MOST}) ELSE 0 END AS epochs FROM t)
+SELECT doc_id, size, source_size::BIGINT AS source_size, target, (size * (epochs + CASE WHEN epochs < {MOST} AND ends - size / 2 <= target - epochs * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM r JOIN e ON r.source IS NOT DISTINCT FROM e.source
+"""

@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    # a match can only begin where a run of digits does: the others need not be tried
+    "ip": re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
@@ -52,18 +55,32 @@ def valid(kind: str, span: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(int(p) <= 255 for p in span.split("."))
+        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in span.split("."))
     digits = re.sub(r"[^0-9]", "", span)
     return 14 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 10 <= len(digits) <= 15
 
 
+_LOCAL, _DOMAIN = re.compile(r"[A-Za-z0-9._%+-]+(@?)"), re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)+")
+
+
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """The matches of the email pattern, each run of its characters read once however long it is."""
+    at = 0
+    while m := _LOCAL.search(text, at):
+        at = m.end()
+        if m[1] and (domain := _DOMAIN.match(text, at)):
+            at = domain.end()
+            yield m.start(), at
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the patterns' spans, in order."""
     out = []
     for k, kind in enumerate(KINDS):
         if kind == "email" and "@" not in text or kind == "phone" and "+" not in text:
             continue
-        out += [(m.start(), k, m.end()) for m in PATTERNS[kind].finditer(text) if valid(kind, m.group())]
+        found = _emails(text) if kind == "email" else (m.span() for m in PATTERNS[kind].finditer(text))
+        out += [(a, k, b) for a, b in found if valid(kind, text[a:b])]
     return sorted(out)
 
 
@@ -118,8 +135,12 @@ class Field:
         """Viterbi labels of each line's shapes; lines of like length share a batch."""
         out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(lines)
         order = sorted((i for i in range(len(lines)) if lines[i]), key=lambda i: len(lines[i]))
-        for at in range(0, len(order), 256):
-            some = order[at : at + 256]
+        at = 0
+        while at < len(order):
+            # batches of bounded padded size, whatever the longest line
+            n = max(1, min(256, 65536 // len(lines[order[min(at + 255, len(order) - 1)]])))
+            some = order[at : at + n]
+            at += n
             size = np.array([len(lines[i]) for i in some])
             e = np.zeros((len(some), size.max(), len(LABELS)))
             for j, i in enumerate(some):
@@ -245,7 +266,7 @@ def train() -> Field:
     return Field.fit(*labelled_table())
 
 
-_EDGES = re.compile(r"^[^0-9A-Za-z+(]*(.*?)[^0-9A-Za-z]*$", re.S)
+_FIRST, _LAST = re.compile(r"[0-9A-Za-z+(]"), re.compile(r"[0-9A-Za-z]")
 _TESTS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     "ip": re.compile(r"[0-9]+(\.[0-9]+){3}"),
@@ -279,9 +300,10 @@ def field_spans(text: str, field: Field) -> list[tuple[int, int, int]]:
                 j += 1
             k = (labels[i] - 1) // 2
             a, b = found[i][0], found[j - 1][1]
-            m = _EDGES.match(text[a:b])
-            span, a = m.group(1), a + m.start(1)
-            if _TESTS[KINDS[k]].fullmatch(span) and valid(KINDS[k], span):
+            head, tail = _FIRST.search(text, a, b), _LAST.search(text[a:b][::-1])
+            a, b = head.start() if head else b, b - tail.start() if tail else a
+            span = text[a:b]
+            if span and _TESTS[KINDS[k]].fullmatch(span) and valid(KINDS[k], span):
                 out.append((a, int(k), a + len(span)))
             i = j
     return out
@@ -295,7 +317,13 @@ def spans(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tup
     if not _HINT.search(text):
         return [], []
     base = base_spans(text)
-    more = [s for s in field_spans(text, field) if not any(s[0] < b[2] and b[0] < s[2] for b in base)]
+    starts, furthest = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
+
+    def free(a: int, b: int) -> bool:
+        i = bisect_left(starts, b)
+        return not i or furthest[i - 1] <= a
+
+    more = [s for s in field_spans(text, field) if free(s[0], s[2])]
     return base, sorted(base + more)
 
 

@@ -18,5 +18,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_index_family": substrings.ORACLE_SQL,
+    "op4_repetition_coverage": repetition.ORACLE_SQL,
+    "op7_efraimidis_spirakis": mixing.ORACLE_SQL,
+    "op10_spaced_seeds": decontaminate.ORACLE_SQL,
     "op9_tensored_minhash": neardup.ORACLE_SQL,
 }

@@ -100,3 +100,36 @@ def measure(docs: DataFrame, text: str = "text", keep: list[str] | None = None)
 
 def op4_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measure(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep=["doc_id"])
+
+
+def _oracle() -> str:
+    each = lambda part, sep=", ", ks=tuple(NGRAM_LIMITS): sep.join(part(k) for k in ks)
+    run = lambda name, k: f"max({name}) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+    gram = lambda k: " || ' ' || ".join(["w", *(f"lead(w, {j}) OVER o" for j in range(1, k))]) + f" AS g{k}"
+    return rf"""
+WITH w AS (
+  SELECT r, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM (SELECT doc_id AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)),
+c AS (SELECT *, length(w) AS n, {each(gram, ks=(3, *NGRAM_LIMITS))} FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
+m AS (
+  SELECT r, i, n, coalesce(g3 IS NOT NULL AND count(*) OVER (PARTITION BY r, g3) > 1, false) AS many3,
+    {each(lambda k: f"coalesce(g{k} IS NOT NULL AND row_number() OVER (PARTITION BY r, g{k} ORDER BY i) > 1, false) AS later{k}")} FROM c),
+v AS (SELECT r, n, {run("many3", 3)} AS in3, {each(lambda k: f"{run(f'later{k}', k)} AS in{k}")} FROM m),
+s AS (SELECT r, count(*) AS n_words, sum(n) AS word_chars, count(*) FILTER (in3) AS n_repeat_words, {each(lambda k: f"coalesce(sum(n) FILTER (in{k}), 0) AS c{k}")} FROM v GROUP BY r),
+l AS (
+  SELECT r, line, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again FROM (
+    SELECT doc_id AS r, generate_subscripts(string_split(text, chr(10)), 1) AS i, unnest(string_split(text, chr(10))) AS line FROM documents)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+k AS (SELECT r, count(*) FILTER (again) AS n_dup_lines, sum(CASE WHEN again THEN length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) ELSE 0 END) AS dup_chars FROM l GROUP BY r),
+f AS (
+  SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, greatest(coalesce(word_chars, 0), 1) AS total, coalesce(dup_chars, 0) AS dup_chars, {each(lambda k: f"coalesce(c{k}, 0) AS c{k}")}
+  FROM documents d LEFT JOIN s ON s.r = d.doc_id LEFT JOIN k ON k.r = d.doc_id),
+x AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
+    {each(lambda k: f"c{k} / total AS dup_share_{k}")}, dup_chars / total AS dup_line_share, n_symbols / total AS symbol_share FROM f)
+SELECT doc_id, {", ".join(COUNTS)}, base_failed, {", ".join(SHARES)},
+  NOT base_failed AND {each(lambda k: f"dup_share_{k} <= {NGRAM_LIMITS[k]}", " AND ")} AND dup_line_share <= {LINE_LIMIT} AND symbol_share <= {SYMBOL_LIMIT} AS kept FROM x
+"""
+
+
+ORACLE_SQL = _oracle()

@@ -244,3 +244,15 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 
 def op2_index_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept")
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, doc_id AS r, encode(coalesce(text, '')) AS b FROM documents),
+p AS (SELECT doc_id, r, octet_length(b) AS n, unnest(range(0, octet_length(b)::BIGINT)) AS i, b FROM d),
+w AS (SELECT doc_id, r, n, i, CASE WHEN i + 100 <= n THEN array_slice(b, i + 1, i + 100) END AS s, array_slice(b, i + 1, i + 1) AS x FROM p),
+m AS (SELECT doc_id, r, i, x, s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1 AS again FROM w),
+c AS (SELECT doc_id, r, i, x, max(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM m),
+e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS begins FROM c),
+t AS (SELECT r, count(*) FILTER (gone) AS n_removed, count(*) FILTER (begins) AS n_spans, string_agg(CASE WHEN gone THEN '' ELSE hex(x) END, '' ORDER BY i) AS h FROM e GROUP BY r)
+SELECT d.doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(h, ''))) AS kept_sha256 FROM d LEFT JOIN t ON t.r = d.r
+"""
