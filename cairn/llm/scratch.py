@@ -6,6 +6,7 @@ so a lost executor costs only the tasks it was running.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -47,3 +48,8 @@ class Scratch:
         for df in tables:
             path = jvm.org.apache.hadoop.fs.Path(df._cairn_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def release(self) -> None:
+        """Let go of the shuffle files behind what is saved: Spark deletes them once the driver has forgotten them."""
+        gc.collect()
+        self.spark._jvm.System.gc()
