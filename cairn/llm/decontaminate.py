@@ -3,7 +3,8 @@ r"""Benchmark decontamination by spaced seeds (operator 10, native).
 A seed is a window of SPAN words of which a fixed mask reads only some; a substituted word at an
 ignored position leaves the seed's hash as it was.  Hashes of the documents' windows meet those of
 the benchmark's.  Each hit fixes an alignment (document, item, offset); the words of both are then
-compared over the whole item, and the overlap is kept if most of them agree.
+compared over the whole item, and the overlap is kept if most of them agree, or most in some LOCAL words
+in a row: a document may hold a part of an item only.
 
 The documents' windows stream past a bit map of the benchmark's seeds, of fixed size, in one generated
 stage; only windows with a set bit go on to the join on the hashes themselves.  The seed table is
@@ -25,8 +26,8 @@ from .scratch import Scratch
 #: masks over SPAN words: each reads 8 of 12; a window with up to 2 substitutions passes one of them mostly
 MASKS = ((0, 1, 2, 4, 5, 7, 10, 11), (0, 1, 3, 4, 6, 8, 9, 11), (0, 2, 3, 5, 6, 7, 9, 11))
 SPAN = 12
-#: share of the aligned words that must agree, and their least number
-MIN_PERCENT, MIN_WORDS = 75, 10
+#: share of the aligned words that must agree, and their least number; or else the share in some LOCAL of them
+MIN_PERCENT, MIN_WORDS, LOCAL = 75, 10, 16
 BROADCAST_SEEDS = 4_000_000
 #: bits of the seed map, as a power of two
 MAP_BITS = 21
@@ -87,9 +88,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # the words of both along the alignment
     lo, hi = F.greatest(F.lit(0), -F.col("start")), F.least(F.size("item"), F.size("h") - F.col("start"))
     doc_part, item_part = F.slice("h", F.col("start") + lo + 1, hi - lo), F.slice("item", lo + 1, hi - lo)
-    equal = F.aggregate(F.zip_with(doc_part, item_part, lambda x, y: (x == y).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    seen = hits.select("doc_id", "item_id", F.col("start").cast("long").alias("start"), (hi - lo).cast("long").alias("n_words"), equal.alias("n_equal"))
-    good = seen.filter((F.col("n_equal") >= MIN_WORDS) & (100 * F.col("n_equal") >= MIN_PERCENT * F.col("n_words")))
+    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda s, x: s + x)
+    seen = hits.select("doc_id", "item_id", F.col("start").cast("long").alias("start"), (hi - lo).cast("long").alias("n_words"), F.zip_with(doc_part, item_part, lambda x, y: (x == y).cast("long")).alias("equal"))
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n_words") - LOCAL + 1).cast("int")), lambda i: total(F.slice("equal", i, LOCAL)))
+    seen = seen.withColumn("n_equal", total("equal")).withColumn("n_local", F.array_max(runs))
+    most = (100 * F.col("n_equal") >= MIN_PERCENT * F.col("n_words")) | (100 * F.col("n_local") >= MIN_PERCENT * LOCAL)
+    good = seen.filter((F.col("n_equal") >= MIN_WORDS) & most)
     best = good.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_equal", "n_words", (-F.col("start")).alias("s"))).alias("m"))
     return best.select("doc_id", "item_id", (-F.col("m.s")).alias("start"), F.col("m.n_words").alias("n_words"), F.col("m.n_equal").alias("n_equal"))
 
@@ -113,9 +117,11 @@ bw AS (SELECT item_id, i, unnest([{_SEED_SQL}]) AS seed FROM (SELECT item_id, h,
 a AS (SELECT DISTINCT doc_id, item_id, dw.i - bw.i AS start FROM dw JOIN bw ON dw.seed = bw.seed),
 p AS (
   SELECT doc_id, item_id, start, d.h AS dh, b.h AS bh, greatest(0, -start) AS lo, least(len(b.h), len(d.h) - start) AS hi FROM a JOIN d USING (doc_id) JOIN b USING (item_id)),
+q AS (SELECT doc_id, item_id, start, hi - lo AS n, list_transform(list_zip(dh[start + lo + 1 : start + hi], bh[lo + 1 : hi]), lambda z: CASE WHEN z[1] = z[2] THEN 1 ELSE 0 END) AS same FROM p),
 e AS (
-  SELECT doc_id, item_id, start, (hi - lo)::BIGINT AS n_words, len(list_filter(list_zip(dh[start + lo + 1 : start + hi], bh[lo + 1 : hi]), lambda z: z[1] = z[2]))::BIGINT AS n_equal FROM p)
+  SELECT doc_id, item_id, start, n::BIGINT AS n_words, list_sum(same)::BIGINT AS n_equal,
+    list_max(list_transform(range(0, greatest(1, n - {LOCAL - 1})), lambda i: list_sum(same[i + 1 : i + {LOCAL}]))) AS n_local FROM q)
 SELECT doc_id, item_id, start, n_words, n_equal FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, n_words DESC, start) AS rank FROM e WHERE n_equal >= {MIN_WORDS} AND 100 * n_equal >= {MIN_PERCENT} * n_words)
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, n_words DESC, start) AS rank FROM e WHERE n_equal >= {MIN_WORDS} AND (100 * n_equal >= {MIN_PERCENT} * n_words OR 100 * n_local >= {MIN_PERCENT * LOCAL}))
 WHERE rank = 1
 """

@@ -25,7 +25,8 @@ def brute(data, bench):
                 same = [d[start + j] == b[j] for j in range(lo, hi)]
                 seeded = any(all(same[p + k] for k in m) for p in range(len(same) - dec.SPAN + 1) for m in dec.MASKS)
                 n = sum(same)
-                if seeded and n >= dec.MIN_WORDS and 100 * n >= dec.MIN_PERCENT * len(same):
+                local = max((sum(same[p : p + dec.LOCAL]) for p in range(max(1, len(same) - dec.LOCAL + 1))), default=0)
+                if seeded and n >= dec.MIN_WORDS and (100 * n >= dec.MIN_PERCENT * len(same) or 100 * local >= dec.MIN_PERCENT * dec.LOCAL):
                     best[i, item] = max(best.get((i, item), (0, 0, 0)), (n, len(same), -start))
     return sorted((i, item, -s, w, n) for (i, item), (n, w, s) in best.items())
 
@@ -39,6 +40,7 @@ def test_brute_force(spark):
         changed = [x if (j + n) % 6 else x + "!" for j, x in enumerate(w)]
         data.append((500 + n, words(rng, 9) + " " + t.upper() + " " + words(rng, 9), "en", "s", 0))
         data.append((600 + n, words(rng, 3) + " " + " ".join(changed), "en", "s", 0))
+        data.append((800 + n, words(rng, 30) + " " + " ".join(w[2:20]) + " " + words(rng, 40), "en", "s", 0))
         data.append((700 + n, " ".join(w[len(w) // 3 :]) + " x", "en", "s", 0))
     docs = table(spark, data, h="clash", i="clash", seed="clash", item_id="clash")
     items = spark.createDataFrame([*bench, bench[0]], "item_id long, text string")
