@@ -18,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_quotation_linking": quotes.ORACLE_SQL,
     "op2_index_family": substrings.ORACLE_SQL,
     "op4_repetition_coverage": repetition.ORACLE_SQL,
     "op7_efraimidis_spirakis": mixing.ORACLE_SQL,

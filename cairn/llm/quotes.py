@@ -108,3 +108,29 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
 def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_quotes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+ORACLE_SQL = rf"""
+WITH RECURSIVE l AS (
+  SELECT conv_id, turn, length(regexp_replace(regexp_extract(line, '{MARKS}', 1), '[^>]', '', 'g')) AS level, trim(regexp_replace(lower(regexp_replace(line, '{MARKS}', '')), '\s+', ' ', 'g')) AS body
+  FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM (SELECT DISTINCT conv_id, turn, text FROM conversations))),
+q AS (SELECT * FROM l WHERE level > 0 AND body <> ''),
+o AS (SELECT conv_id, body, min(turn) AS origin FROM l WHERE level = 0 AND body <> '' GROUP BY ALL),
+k AS (SELECT q.conv_id, q.turn, q.level, o.origin, sum(length(q.body)) AS chars, count(*) AS n FROM q JOIN o ON o.conv_id = q.conv_id AND o.body = q.body WHERE o.origin < q.turn GROUP BY ALL),
+p AS (SELECT conv_id, turn, arg_max(origin, (-level, chars, origin)) AS parent, sum(n) AS n_linked FROM k GROUP BY ALL),
+c AS (SELECT conv_id, turn, count(*) AS n_quoted, max(level) AS max_level FROM q GROUP BY ALL),
+i AS (SELECT DISTINCT conv_id, turn FROM conversations),
+n AS (
+  SELECT i.conv_id, i.turn, p.parent, p.n_linked, c.n_quoted, c.max_level, b.turn IS NOT NULL AS follows
+  FROM i LEFT JOIN p ON p.conv_id = i.conv_id AND p.turn = i.turn LEFT JOIN c ON c.conv_id = i.conv_id AND c.turn = i.turn LEFT JOIN i b ON b.conv_id = i.conv_id AND b.turn = i.turn - 1),
+h AS (SELECT *, max(CASE WHEN parent IS NOT NULL OR NOT follows THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS head FROM n),
+u AS (SELECT h.conv_id, h.turn, g.parent AS up FROM h JOIN n g ON g.conv_id = h.conv_id AND g.turn = h.head),
+t AS (
+  SELECT conv_id, turn, CAST(turn AS VARCHAR) AS path FROM u WHERE up IS NULL
+  UNION ALL SELECT u.conv_id, u.turn, t.path || '.' || u.turn FROM t JOIN u ON u.conv_id = t.conv_id AND u.up = t.turn)
+SELECT r.conv_id, r.turn, r.role,
+  CASE WHEN n_quoted IS NULL THEN r.text ELSE rtrim(regexp_replace(regexp_replace(r.text, '{ATTRIBUTION.replace("(?=[ ", "([ ")}', '\1', 'g'), '{QUOTED_LINE}', '', 'g')) END AS text,
+  coalesce(n_quoted, 0)::BIGINT AS n_quoted, coalesce(max_level, 0)::BIGINT AS max_level, coalesce(n_linked, 0)::BIGINT AS n_linked,
+  coalesce(parent, CASE WHEN follows THEN r.turn - 1 END) AS parent_turn, CASE WHEN parent IS NOT NULL THEN 'quote' WHEN follows THEN 'sequence' ELSE 'root' END AS link, t.path
+FROM conversations r JOIN n ON n.conv_id = r.conv_id AND n.turn = r.turn JOIN t ON t.conv_id = r.conv_id AND t.turn = r.turn
+"""

@@ -1,3 +1,7 @@
+import random
+
+from oracle import of_duckdb, of_spark
+
 from cairn.llm import quotes
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -41,3 +45,25 @@ def test_long_chain(spark):
     n = 40
     got = link(spark, [(1, t, "a", (f"> message number {t - 1}\n" if t else "") + f"message number {t}") for t in range(n)])
     assert got[1, n - 1].path == ".".join(map(str, range(n)))
+
+
+def test_matches_sql(spark, tmp_path):
+    """Threads of nested quotes at random, against the SQL."""
+    rng = random.Random(2)
+    data = []
+    for c in range(12):
+        texts = []
+        for t in range(rng.randrange(1, 14)):
+            own = "\n".join(f"say {rng.randrange(9)} in {c % 4} words {rng.randrange(30)}" for _ in range(rng.randrange(1, 4)))
+            if texts and rng.random() < 0.7:
+                quoted = "\n".join(("> " if not x.startswith(">") else ">") + x for x in rng.choice(texts).split("\n"))
+                own = rng.choice(["", "On Monday Ann wrote:\n", "Bob schrieb: \n"]) + quoted + rng.choice(["\n", "\n\n"]) + rng.choice([own, own.upper()])
+            texts.append(own)
+            if rng.random() < 0.9:
+                data.append((c, t, "user", own))
+    df = spark.createDataFrame(data, SCHEMA)
+    df.coalesce(1).write.parquet(str(tmp_path / "c"))
+    next((tmp_path / "c").glob("*.parquet")).rename(tmp_path / "conversations.parquet")
+    columns, rows = of_spark(quotes.link_quotes(df))
+    assert (columns, rows) == of_duckdb(quotes.ORACLE_SQL, str(tmp_path))
+    assert sum(r[columns.index("link")] == "quote" for r in rows) > 20
