@@ -11,9 +11,10 @@ the family for equal contexts, and what is new becomes a level of size 1; equal-
 so n batches leave at most log2(n) + 1 levels.  All earlier documents are in the levels, so a context
 found there, or earlier in its batch, repeats in every window.
 
-Contexts that share an anchor but differ may still share windows, at the ends of a match.  For these
-few the windows themselves are hashed and compared.  First the SIDE bytes right or left of the anchor
-must recur: a window holds either side whole.
+Contexts that share an anchor but differ may still share windows, at the ends of a match.  These few
+are cut into pieces of PIECE starts, by distance from the anchor, and go through the same once more:
+a piece's core, the bytes that all its windows hold, in place of the anchor, and all its bytes in
+place of the context.  Only where pieces of one core differ are the windows themselves compared.
 
 All keys are 128 bits of hash, spread evenly whatever the text; a passage that a third of all
 documents hold meets in partial aggregations and in joins that adaptive execution can split.
@@ -33,12 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bytekit import U, Prefix, blocks
+from .bytekit import U, Prefix, blocks, mix
 from .scratch import Scratch
 
 LENGTH, GRAM, BATCHES = 100, 24, 4
 WINDOWS = LENGTH - GRAM + 1
-SIDE = (LENGTH - GRAM) // 2
+PIECE = 8
 
 
 def anchors(block) -> dict[str, np.ndarray]:
@@ -72,8 +73,11 @@ def _key():
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(_key().alias("k"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
+def _keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """(k, t, text): `t` tells apart documents of one doc_id; it is 0, which costs no space, if no doc_id repeats."""
+    ids = docs.groupBy(_key().alias("k")).count().filter("count > 1")
+    t = F.hash("text") if ids.limit(1).count() else F.lit(0)
+    return docs.select(*more, _key().alias("k"), t.alias("t"), F.col("text").cast("string").alias("text"))
 
 
 def entries(keyed: DataFrame) -> DataFrame:
@@ -87,7 +91,7 @@ def entries(keyed: DataFrame) -> DataFrame:
                 index = pa.array(got["doc"] + block.first)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), *(pa.array(got[x].view(np.int64)) for x in names)], ["k", "t", *names])
 
-    return keyed.mapInArrow(run, "k long, t long, lo long, n long, g long, c long")
+    return keyed.mapInArrow(run, "k long, t int, lo long, n long, g long, c long")
 
 
 class IndexFamily:
@@ -119,6 +123,7 @@ class IndexFamily:
         fresh = array.filter("not old").select("g", "c", F.col("m.k").alias("k"), F.col("m.t").alias("t"), F.col("m.lo").alias("lo"), "n")
         self._push(1, self.scratch.save(fresh.sortWithinPartitions("g", "c"), "level"))
         self.scratch.drop(own, array)
+        self.scratch.release()
         return found
 
     def _push(self, size: int, level: DataFrame) -> None:
@@ -136,47 +141,56 @@ class IndexFamily:
         return index.join(shared, "g", "left_semi").select("k", "t", "lo", "n")
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two rows a context: the windows with SIDE bytes or more left of the anchor, and the others."""
-    names = ["k", "t", "lo", "n", "bytes", "s0", "s1"]
+def _listed(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Blocks of (k, t, text, los, ns), with the rows' index in the batch, first byte and starts of each listed run."""
+    for block in blocks(batch.column(2)):
+        lists = [batch.column(i).slice(block.first, block.n) for i in (3, 4)]
+        doc = np.repeat(np.arange(block.n), lists[0].value_lengths().to_numpy())
+        lo, n = (x.flatten().to_numpy() for x in lists)
+        yield block, doc, block.offs[doc], lo + block.offs[doc], n
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, t, lo, n, g, c) of the pieces of each listed context: g hashes the core, c all bytes."""
     for batch in batches:
-        for row in range(0, batch.num_rows, 256):
-            part = batch.slice(row, 256)
-            out: list[list] = [[] for _ in names]
-            for k, t, text, los, ns in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
-                raw = text.encode("utf-8", "surrogatepass")
-                buf = np.frombuffer(raw, np.uint8)
-                los, ns = np.array(los), np.array(ns)
-                first, second = Prefix(buf, 0), Prefix(buf, 1)
-                for lo, n in zip(los.tolist(), ns.tolist(), strict=True):
-                    at = np.arange(lo, lo + n + LENGTH - GRAM)
-                    h = first(at, at + GRAM)
-                    # the leftmost least gram that all windows of the run hold
-                    a = lo + n - 1 + int(np.argmin(h[n - 1 : WINDOWS])) if n <= WINDOWS else lo
-                    cut = min(max(a - SIDE + 1, lo), lo + n)  # starts below it have SIDE bytes or more left of the anchor
-                    for s, e, p in ((lo, cut, a - SIDE), (cut, lo + n, a)):
-                        if s < e:
-                            p, q = np.array([p]), np.array([p + SIDE + GRAM])
-                            for x, y in zip(out, (k, t, s, e - s, raw[s : e + LENGTH - 1], first(p, q).view(np.int64)[0], second(p, q).view(np.int64)[0]), strict=True):
-                                x.append(y)
-            types = [pa.int64()] * 4 + [pa.binary()] + [pa.int64()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(x, ty) for x, ty in zip(out, types, strict=True)], names)
-
-
-def _window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, doc, base, lo, n in _listed(batch):
+            first, second = Prefix(block.buf, 0), Prefix(block.buf, 1)
+            anchor = np.zeros(len(lo), np.int64)
+            step = np.arange(WINDOWS)
+            for i in range(0, len(lo), 1024):
+                part = slice(i, i + 1024)
+                at = lo[part, None] + step
+                h = first(at, at + GRAM)
+                # the leftmost least gram that all windows of the context hold
+                h[step < n[part, None] - 1] = ~U(0)
+                anchor[part] = lo[part] + h.argmin(1)
+            low, high = (anchor - lo - n + 1) // PIECE, (anchor - lo) // PIECE
+            each = np.repeat(np.arange(len(lo)), high - low + 1)
+            q = low[each] + np.arange(len(each)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1)
+            last = anchor[each] - PIECE * q
+            start, end = np.maximum(lo[each], last - PIECE + 1), np.minimum((lo + n)[each], last + 1)
+            g = mix(first(last, last - PIECE + 1 + LENGTH) + q.astype(U))
+            c = second(start, end + LENGTH - 1)
+            rows = pa.array(doc[each] + block.first)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start - base[each]), pa.array(end - start), pa.array(g.view(np.int64)), pa.array(c.view(np.int64))], ["k", "t", "lo", "n", "g", "c"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, t, lo, w0, w1): two hashes of each window of the listed pieces."""
     for batch in batches:
-        for row in range(0, batch.num_rows, 2048):
-            part = batch.slice(row, 2048)
-            n = part.column(3).to_numpy()
-            raw = part.column(4).to_pylist()
-            buf = np.frombuffer(b"".join(raw), np.uint8)
-            base = np.concatenate(([0], np.cumsum([len(r) for r in raw])))[:-1]
-            index = np.repeat(np.arange(len(n)), n)
-            step = np.arange(len(index)) - np.repeat(np.cumsum(n) - n, n)
-            s = base[index] + step
-            hashes = [pa.array(Prefix(buf, i)(s, s + LENGTH).view(np.int64)) for i in range(2)]
-            take = pa.array(index)
-            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(part.column(2).to_numpy()[index] + step), *hashes], ["k", "t", "lo", "w0", "w1"])
+        for block, doc, base, lo, n in _listed(batch):
+            each = np.repeat(np.arange(len(lo)), n)
+            start = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+            hashes = [pa.array(Prefix(block.buf, i)(start, start + LENGTH).view(np.int64)) for i in range(2)]
+            rows = pa.array(doc[each] + block.first)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start - base[each]), *hashes], ["k", "t", "lo", "w0", "w1"])
+
+
+def _with_text(runs: DataFrame, keyed: DataFrame) -> DataFrame:
+    """(k, t, text, los, ns) of the documents that have runs."""
+    lists = runs.groupBy("k", "t").agg(F.collect_list(F.struct("lo", "n")).alias("r"))
+    lists = lists.select("k", "t", F.col("r.lo").alias("los"), F.col("r.n").alias("ns"))
+    return keyed.join(lists, ["k", "t"]).dropDuplicates(["k", "t"]).select("k", "t", "text", "los", "ns")
 
 
 def repeated_runs(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -189,14 +203,18 @@ def repeated_runs(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         part = keyed if low is None else keyed.filter(F.col("k") > low)
         found.append(family.add(part if high is None else part.filter(F.col("k") <= high)))
 
-    where = family.disputed().groupBy("k", "t").agg(F.collect_list("lo").alias("los"), F.collect_list("n").alias("ns"))
-    texts = keyed.join(where, ["k", "t"]).dropDuplicates(["k", "t"]).select("k", "t", "text", "los", "ns")
-    ends = scratch.save(texts.mapInArrow(_contexts, "k long, t long, lo long, n long, bytes binary, s0 long, s1 long"), "contexts")
-    sides = ends.groupBy("s0", "s1").agg(F.count("*").alias("f")).filter("f > 1").select("s0", "s1")
-    windows = ends.join(sides, ["s0", "s1"], "left_semi").select("k", "t", "lo", "n", "bytes").mapInArrow(_window_hashes, "k long, t long, lo long, w0 long, w1 long")
-    windows = scratch.save(windows, "windows")
-    first = windows.groupBy("w0", "w1").agg(F.min(F.struct("k", "t", "lo")).alias("m"), F.count("*").alias("f")).filter("f > 1").select("w0", "w1", "m")
-    late = windows.join(first, ["w0", "w1"]).filter(F.struct("k", "t", "lo") != F.col("m")).select("k", "t", "lo", F.lit(1).cast("long").alias("n"))
+    place = F.struct("k", "t", "lo")
+    texts = _with_text(family.disputed(), keyed)
+    pieces = scratch.save(texts.mapInArrow(_pieces, "k long, t int, lo long, n long, g long, c long"), "pieces")
+    scratch.drop(*(level for _, level in family.levels))
+    kinds = scratch.save(pieces.groupBy("g", "c").agg(F.min(place).alias("m"), F.first("n").alias("n"), F.count("*").alias("f")), "kinds")
+    found.append(pieces.join(kinds.filter("f > 1").select("g", "c", "m"), ["g", "c"]).filter(place != F.col("m")).select("k", "t", "lo", "n"))
+    several = kinds.groupBy("g").agg(F.count("*").alias("f")).filter("f > 1").select("g")
+    open_ = kinds.join(several, "g", "left_semi").select("m.*", "n")
+    scratch.release()
+    windows = scratch.save(_with_text(open_, keyed).mapInArrow(_windows, "k long, t int, lo long, w0 long, w1 long"), "windows")
+    first = windows.groupBy("w0", "w1").agg(F.min(place).alias("m"), F.count("*").alias("f")).filter("f > 1").select("w0", "w1", "m")
+    late = windows.join(first, ["w0", "w1"]).filter(place != F.col("m")).select("k", "t", "lo", F.lit(1).cast("long").alias("n"))
     for more in found:
         late = late.unionByName(more)
     runs = late.groupBy("k", "t").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
@@ -217,8 +235,7 @@ def remove_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay) of each row."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     runs = repeated_runs(docs, batches)
-    src = docs.select("doc_id", _key().alias("k"), F.xxhash64("text").alias("t"), F.col("text").cast("string").alias("text"))
-    src = src.join(runs, ["k", "t"], "left").select("doc_id", "text", "los", "ns")
+    src = _keyed(docs, "doc_id").join(runs, ["k", "t"], "left").select("doc_id", "text", "los", "ns")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in parts:
