@@ -51,15 +51,15 @@ SELECT TRY_CAST(NULLIF(k, '') AS BIGINT) AS orderkey, NULLIF(p, '') AS priority,
 
 
 @query("""
-WITH excluded AS (SELECT c_custkey FROM customer WHERE c_custkey % 11 = 0), rescued AS (SELECT c_custkey FROM customer WHERE c_custkey % 13 = 0),
+WITH excluded AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0), rescued AS (SELECT c_custkey FROM customer WHERE c_acctbal > 9000),
 named AS (SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 1)
 SELECT c_custkey, c_custkey IN (SELECT c_custkey FROM named) AS by_lineage, c_custkey IN (SELECT c_custkey FROM rescued) AS by_rescue,
   (SELECT count(*) FROM excluded)::BIGINT AS n_excluded FROM customer
 WHERE c_custkey NOT IN (SELECT c_custkey FROM excluded) AND (c_custkey IN (SELECT c_custkey FROM named) OR c_custkey IN (SELECT c_custkey FROM rescued))""")
 def q_carve(t):
     """Exclusion first; then lineage or rescue."""
-    excluded = t.customer.filter("c_custkey % 11 = 0").select("c_custkey")
-    rescued = t.customer.filter("c_custkey % 13 = 0").select("c_custkey", L(True).alias("by_rescue"))
+    excluded = t.customer.filter("c_acctbal < 0").select("c_custkey")
+    rescued = t.customer.filter("c_acctbal > 9000").select("c_custkey", L(True).alias("by_rescue"))
     named = t.nation.filter("n_regionkey = 1").select(F.col("n_nationkey").alias("c_nationkey"), L(True).alias("by_lineage"))
     left = t.customer.join(excluded, "c_custkey", "left_anti").join(named, "c_nationkey", "left").join(rescued, "c_custkey", "left")
     flags = [F.coalesce(c, L(False)).alias(c) for c in ("by_lineage", "by_rescue")]
@@ -109,11 +109,11 @@ FROM @customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""")
 
 
 @query("""
-SELECT c_mktsegment, count(o_orderkey)::BIGINT AS n_orders, (SELECT count(*) FROM orders WHERE o_custkey % 10 = 3 OR o_custkey NOT IN (SELECT c_custkey FROM customer))::BIGINT AS n_orphans
-FROM customer JOIN orders ON c_custkey = o_custkey WHERE c_custkey % 10 <> 3 GROUP BY 1""")
+SELECT c_mktsegment, count(o_orderkey)::BIGINT AS n_orders, (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0))::BIGINT AS n_orphans
+FROM customer JOIN orders ON c_custkey = o_custkey WHERE c_acctbal >= 0 GROUP BY 1""")
 def q_orphans(t):
     """Rows without a canonical row are counted and dropped."""
-    canonical = t.customer.filter("c_custkey % 10 <> 3")
+    canonical = t.customer.filter("c_acctbal >= 0")
     orphans = t.orders.join(canonical.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_anti").agg(F.count("*")).scalar()
     kept = canonical.join(t.orders, F.col("c_custkey") == F.col("o_custkey"))
     return kept.groupBy("c_mktsegment").agg(F.count("o_orderkey").alias("n_orders")).withColumn("n_orphans", orphans)
@@ -180,13 +180,14 @@ def q_byte_twin_rescue(t):
 
 
 @query("""
-WITH k AS (SELECT sha256(text) AS sha, min(doc_id) AS twin FROM documents WHERE doc_id % 2 = 0 GROUP BY 1)
+WITH k AS (SELECT sha256(text) AS sha, min(doc_id) AS twin FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY 1)
 SELECT d.doc_id, d.lang, CASE WHEN twin IS NOT NULL THEN 'byte_identical' WHEN n_chars >= 5000 THEN 'measured' END AS membership_basis, coalesce(twin, -1) AS byte_identical_twin
-FROM documents d LEFT JOIN k ON sha256(d.text) = k.sha WHERE doc_id % 2 = 1 AND (twin IS NOT NULL OR n_chars >= 5000)""")
+FROM documents d LEFT JOIN k ON sha256(d.text) = k.sha WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND (twin IS NOT NULL OR n_chars >= 5000)""")
 def q_rescue_report(t):
     d = t.documents.select("doc_id", "lang", "n_chars", F.sha2("text", 256).alias("sha"))
-    twins = d.filter("doc_id % 2 = 0").groupBy("sha").agg(F.min("doc_id").alias("twin"))
-    rows = d.filter("doc_id % 2 = 1").join(twins, "sha", "left")
+    known = t.labels.select("doc_id")
+    twins = d.join(known, "doc_id", "left_semi").groupBy("sha").agg(F.min("doc_id").alias("twin"))
+    rows = d.join(known, "doc_id", "left_anti").join(twins, "sha", "left")
     basis = F.when(F.col("twin").isNotNull(), "byte_identical").when(F.col("n_chars") >= 5000, "measured")
     return rows.select("doc_id", "lang", basis.alias("membership_basis"), F.coalesce("twin", L(-1)).alias("byte_identical_twin")).filter("membership_basis is not null").orderBy("doc_id")
 
@@ -196,13 +197,13 @@ SELECT s_suppkey, CASE WHEN s_acctbal < 1000 THEN 'within' WHEN s_acctbal >= 500
 
 
 @query("""
-WITH e AS (SELECT *, event_id % 4 = 0 AS blank FROM events WHERE event_id % 3 <> 0), g AS (
+WITH e AS (SELECT *, event_id % 4 = 0 AS blank FROM events), g AS (
   SELECT user_id, event_type, count(DISTINCT floor(value / 20)) AS n, min(floor(value / 20)) AS v FROM e WHERE NOT blank GROUP BY 1, 2)
 SELECT e.event_id, CAST(CASE WHEN NOT blank THEN floor(e.value / 20) WHEN n = 1 THEN v END AS BIGINT) AS label, CASE WHEN NOT blank THEN 'own' WHEN n = 1 THEN 'linked' WHEN n > 1 THEN 'siblings_disagree' ELSE 'no_siblings' END AS basis
 FROM e LEFT JOIN g ON e.user_id = g.user_id AND e.event_type = g.event_type""")
 def q_linked_inference(t):
     """A blank label is filled only if all firm rows of its group agree; only own labels are firm."""
-    e = t.events.filter("event_id % 3 <> 0").withColumn("blank", F.col("event_id") % 4 == 0).withColumn("v", F.floor(F.col("value") / 20))
+    e = t.events.withColumn("blank", F.col("event_id") % 4 == 0).withColumn("v", F.floor(F.col("value") / 20))
     firm = e.filter("not blank").groupBy("user_id", "event_type").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     rows = e.join(firm, ["user_id", "event_type"], "left")
     agree = F.col("lo") == F.col("hi")
@@ -250,11 +251,11 @@ def q_reference_slot(t):
 
 
 @query("""
-SELECT (SELECT count(*) FROM (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderkey % 17 <> 0) WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))::BIGINT AS only_left,
-  (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 17 <> 0))::BIGINT AS only_right,
-  (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 17 <> 0))::BIGINT AS shared""")
+SELECT (SELECT count(*) FROM (SELECT DISTINCT o_orderkey FROM orders WHERE o_orderstatus <> 'P') WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem))::BIGINT AS only_left,
+  (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'))::BIGINT AS only_right,
+  (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P'))::BIGINT AS shared""")
 def q_set_accounting(t):
-    return rel.set_difference_counts(t.orders.filter("o_orderkey % 17 <> 0").select(F.col("o_orderkey").alias("k")), t.lineitem.select(F.col("l_orderkey").alias("k")), "k")
+    return rel.set_difference_counts(t.orders.filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("k")), t.lineitem.select(F.col("l_orderkey").alias("k")), "k")
 
 
 @query("""
@@ -269,14 +270,14 @@ def q_setop_partition(t):
 
 
 @query("""
-WITH s AS (SELECT doc_id, lang, source FROM documents WHERE doc_id % 10 <> 1), n AS (SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN '' ELSE lang END AS lang, source FROM documents WHERE doc_id % 10 <> 2)
+WITH s AS (SELECT doc_id, lang, source FROM documents WHERE source <> 'src3'), n AS (SELECT doc_id, CASE WHEN doc_id % 23 = 0 THEN '' ELSE lang END AS lang, source FROM documents WHERE source NOT IN ('src1', 'src2'))
 SELECT coalesce(s.doc_id, n.doc_id) AS doc_id, CASE WHEN s.doc_id IS NULL THEN 'added' ELSE 'dropped' END AS change, CASE WHEN s.doc_id IS NULL THEN 'new_record' WHEN n.doc_id IS NULL AND s.source = 'src1' THEN 'carved' WHEN n.doc_id IS NULL THEN 'absent_from_canonical' WHEN n.lang = '' THEN 'type_lost' ELSE 'relabelled' END AS reason
 FROM s FULL JOIN n ON s.doc_id = n.doc_id WHERE s.doc_id IS NULL OR n.doc_id IS NULL OR s.lang <> n.lang""")
 def q_delta_reasons(t):
     """Both sides of a rebuild in one full join; each difference has one reason of a closed list."""
     d = t.documents
-    s = d.filter("doc_id % 10 <> 1").select(F.col("doc_id").alias("sid"), F.col("lang").alias("sl"), F.col("source").alias("ss"))
-    n = d.filter("doc_id % 10 <> 2").select(F.col("doc_id").alias("nid"), F.when(F.col("doc_id") % 23 == 0, "").otherwise(F.col("lang")).alias("nl"))
+    s = d.filter("source <> 'src3'").select(F.col("doc_id").alias("sid"), F.col("lang").alias("sl"), F.col("source").alias("ss"))
+    n = d.filter("source not in ('src1', 'src2')").select(F.col("doc_id").alias("nid"), F.when(F.col("doc_id") % 23 == 0, "").otherwise(F.col("lang")).alias("nl"))
     both = s.join(n, F.col("sid") == F.col("nid"), "full").filter("sid is null or nid is null or sl <> nl")
     added, gone = F.col("sid").isNull(), F.col("nid").isNull()
     reason = F.when(added, "new_record").when(gone & (F.col("ss") == "src1"), "carved").when(gone, "absent_from_canonical").when(F.col("nl") == "", "type_lost").otherwise("relabelled")
