@@ -10,24 +10,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED, MIN_ANCHORS, MIN_COMPARED, IMPLAUSIBLE_PERCENT = 12, 5, 50, 40.0
+#: the references' seeds are broadcast up to this number, some 50 MB; more are joined by shuffle
+BROADCAST_SEEDS = 1_000_000
 
 
 def seeds(df: DataFrame, key: str, text: str, name: str, k: int = SEED) -> DataFrame:
     """(key, name, seed): every k-letter window and its 0-based position."""
-    long = df.filter(F.length(text) >= k)
-    at = long.select(key, F.col(text).alias("__t"), F.explode(F.sequence(F.lit(0), F.length(text) - k)).alias(name))
-    return at.select(key, name, F.substr("__t", F.col(name) + 1, F.lit(k)).alias("seed"))
+    # one pass of a pattern of no width: cutting each window out of the text would read it anew from its start
+    window = rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{{k}}}))"
+    return df.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(window), F.lit(1))).alias(name, "seed"))
 
 
 def diagonals(queries: DataFrame, references: DataFrame, k: int = SEED, floor: int = MIN_ANCHORS) -> DataFrame:
     """(doc_id, item_id, diag, n): the diagonal with most seeds in common, at least `floor`.
 
     Ties go to the diagonal met first: the lowest query position, then the lowest reference position.
-    Votes are counted map-side before the shuffle, and the seeds' table is broadcast by Spark itself
-    where it is small.
+    Votes are counted map-side before the shuffle.  The references' seeds are counted first, and
+    broadcast only if few: then the queries' seeds never leave their task.
     """
     q, r = seeds(queries, "doc_id", "text", "pos", k), seeds(references, "item_id", "text", "rpos", k)
-    votes = q.join(r, "seed").groupBy("doc_id", "item_id", (F.col("rpos") - F.col("pos")).alias("diag")).agg(F.count("*").alias("n"), F.min("pos").alias("q0"), F.min("rpos").alias("r0"))
+    n = references.agg(F.sum(F.greatest(F.length("text") - k + 1, F.lit(0)))).first()[0] or 0
+    votes = q.join(F.broadcast(r) if n <= BROADCAST_SEEDS else r, "seed").groupBy("doc_id", "item_id", (F.col("rpos") - F.col("pos")).alias("diag")).agg(F.count("*").alias("n"), F.min("pos").alias("q0"), F.min("rpos").alias("r0"))
     best = F.max_by(F.struct("diag", "n"), F.struct("n", -F.col("q0"), -F.col("r0"))).alias("m")
     return votes.filter(F.col("n") >= floor).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", F.col("m.diag").cast("long").alias("diag"), F.col("m.n").alias("n"))
 
