@@ -9,7 +9,8 @@ The labeller is trained on the driver from a bounded table of labelled pages, ma
 by `labelled_pages`; no row of the corpus is part of it.  Pages are independent: nothing is shuffled.
 
 Defined results: null and empty html give the empty text; a page without main text too.  Scripts,
-styles, templates, the head and form fields never are blocks.  `<br>` is white space.  White space in
+styles, templates, the head and form fields never are blocks; a head ends at the first block-level tag,
+a button, select, option or object whose end tag is missing does too.  `<br>` is white space.  White space in
 a block is one space; blocks are trimmed and joined by \n in page order; nothing else is dropped.
 Repeated rows give repeated rows; extra columns pass through `extract` untouched; an empty table
 gives an empty result.
@@ -37,6 +38,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: elements whose content is never text of the page
 DROPPED = frozenset("button canvas head iframe math noscript object option script select style svg template textarea title".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
+#: dropped elements that pages leave open: the first block ends the head, and the others where their end tag is missing
+BOUNDED = {t: re.compile(rf"<(/?){t}\b", re.I) for t in "button head object option select".split()}
 #: an open element of these ends where a sibling of the same set begins
 CLOSES = {"p": frozenset("p"), "li": frozenset("li"), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr", "td", "th")), "td": frozenset(("td", "th")), "th": frozenset(("td", "th")), "option": frozenset(("option",))}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
@@ -50,6 +53,15 @@ def _names(tag: str, attributes: str) -> tuple[str, ...]:
     return (tag, *(f".{w}" for w in words))
 
 
+def _left_open(tag: str, page: str, at: int) -> bool:
+    """Whether a block at `at` ends an open dropped element `tag`."""
+    if tag == "head" or tag not in BOUNDED:
+        return tag == "head"
+    later = (m[1] for m in BOUNDED[tag].finditer(page, at))
+    # objects nest, the others end at the next of their kind
+    return not any(later) if tag == "object" else not next(later, "")
+
+
 def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], int]]:
     """(text, path, characters of link text) of each leaf block that has text."""
     out: list[tuple[str, tuple[tuple[str, ...], ...], int]] = []
@@ -84,6 +96,12 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], int]]
                 parts.append(" ")
                 continue
             block = tag in BLOCK
+            if block and dropped:
+                i = next(i for i, (t, _) in enumerate(stack) if t in DROPPED)
+                if all(t not in DROPPED or _left_open(t, page, at) for t, _ in stack[i:]):
+                    anchors -= sum(t == "a" for t, _ in stack[i:])
+                    dropped = 0
+                    del stack[i:]
             if block and not dropped:
                 flush()
             if tag in VOID or m[3].endswith("/"):

@@ -38,3 +38,15 @@ def test_corpus_articles(spark):
     got = pages.op6_recurrent_labeller(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == 50
     assert sum(bool(r.text) for r in got) >= 48
+
+
+def test_end_tags_left_out():
+    """What follows an open head, or an open form field, is text of the page; closed ones hold none."""
+    texts = lambda html: [t for t, _, _ in pages.leaf_blocks(html)]
+    assert texts("<html><head><title>T</title><meta x><body><p>one<p>two") == ["one", "two"]
+    assert texts("<head><link x><style>p {}</style><p>one<p>two</p>") == ["one", "two"]
+    for tag in ("button", "select", "option", "object"):
+        assert texts(f"<div><{tag}>no<p>one<p>two</div><p>three") == ["one", "two", "three"]
+        assert texts(f"<div><{tag}>no<p>no</p></{tag}><p>two</div><p>three") == ["two", "three"]
+    assert texts("<object><object><p>no</p></object><p>no</p></object><p>one") == ["one"]
+    assert texts("<select><option>a<option>b</select><svg><p>no</p></svg><p>one") == ["one"]
