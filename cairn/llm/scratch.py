@@ -6,19 +6,25 @@ so a lost executor costs only the tasks it was running.
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: when a query ends, Spark removes the shuffle files that only it could read
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lent: list[Scratch] | None = None
+
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Folder named by the session; a temporary one only where none is set (tests, local mode)."""
+    """Folder named by the session.  Where none is set, a temporary one in local mode; on a cluster an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="cairn-")
-        spark.sparkContext.setCheckpointDir(root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cairn-"))
         root = spark.sparkContext.getCheckpointDir()
     return root
 
@@ -30,6 +36,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        if _lent is not None:
+            _lent.append(self)
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -37,19 +45,37 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(CLEAN_UP, None)
+        self.spark.conf.set(CLEAN_UP, "true")
+        try:
+            # a plan takes the setting when it is made
+            df.select("*").write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(CLEAN_UP) if before is None else self.spark.conf.set(CLEAN_UP, before)
         # the schema is known: reading with it skips inference and keeps empty tables readable
         out = self.spark.read.schema(df.schema).parquet(path)
         out._cairn_path = path
         return out
 
+    def _delete(self, path: str) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
     def drop(self, *tables: DataFrame) -> None:
-        jvm = self.spark._jvm
         for df in tables:
-            path = jvm.org.apache.hadoop.fs.Path(df._cairn_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(df._cairn_path)
+
+    def close(self) -> None:
+        """Remove all tables: for when what was made of them has been written elsewhere."""
+        self._delete(self.root)
+
 
-    def release(self) -> None:
-        """Let go of the shuffle files behind what is saved: Spark deletes them once the driver has forgotten them."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+@contextmanager
+def lent() -> Iterator[list[Scratch]]:
+    """Lists the scratch spaces opened inside, so that the caller can close them once their result is written."""
+    global _lent
+    before, _lent = _lent, []
+    try:
+        yield _lent
+    finally:
+        _lent = before

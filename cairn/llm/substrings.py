@@ -123,7 +123,6 @@ class IndexFamily:
         fresh = array.filter("not old").select("g", "c", F.col("m.k").alias("k"), F.col("m.t").alias("t"), F.col("m.lo").alias("lo"), "n")
         self._push(1, self.scratch.save(fresh.sortWithinPartitions("g", "c"), "level"))
         self.scratch.drop(own, array)
-        self.scratch.release()
         return found
 
     def _push(self, size: int, level: DataFrame) -> None:
@@ -211,7 +210,6 @@ def repeated_runs(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     found.append(pieces.join(kinds.filter("f > 1").select("g", "c", "m"), ["g", "c"]).filter(place != F.col("m")).select("k", "t", "lo", "n"))
     several = kinds.groupBy("g").agg(F.count("*").alias("f")).filter("f > 1").select("g")
     open_ = kinds.join(several, "g", "left_semi").select("m.*", "n")
-    scratch.release()
     windows = scratch.save(_with_text(open_, keyed).mapInArrow(_windows, "k long, t int, lo long, w0 long, w1 long"), "windows")
     first = windows.groupBy("w0", "w1").agg(F.min(place).alias("m"), F.count("*").alias("f")).filter("f > 1").select("w0", "w1", "m")
     late = windows.join(first, ["w0", "w1"]).filter(place != F.col("m")).select("k", "t", "lo", F.lit(1).cast("long").alias("n"))
