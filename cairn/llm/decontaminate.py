@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
+from .sieve import bit_map, may_be_in, without
 
 #: masks over SPAN words: each reads 8 of 12; a window with up to 2 substitutions passes one of them mostly
 MASKS = ((0, 1, 2, 4, 5, 7, 10, 11), (0, 1, 3, 4, 6, 8, 9, 11), (0, 2, 3, 5, 6, 7, 9, 11))
@@ -45,20 +46,6 @@ def _seeds() -> list[Column]:
     return [F.xxhash64(F.lit(m), *[word(k) for k in mask]) for m, mask in enumerate(MASKS)]
 
 
-def _bit_map(bank: DataFrame) -> DataFrame:
-    """One row, one array of 64-bit words: bit `seed mod 2**MAP_BITS` is set for each seed of `bank`."""
-    slot = F.col("seed").bitwiseAND((1 << MAP_BITS) - 1)
-    bits = bank.groupBy(F.shiftright(slot, 6).alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(seed & 63 as int))")).alias("bits"))
-    words = bank.sparkSession.range(1 << (MAP_BITS - 6)).join(bits, "id", "left").select(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits")).alias("w"))
-    return words.agg(F.transform(F.array_sort(F.collect_list("w")), lambda w: w["bits"]).alias("map"))
-
-
-def _may_be_in(bit_map: Column, seed: str) -> Column:
-    slot = F.col(seed).bitwiseAND((1 << MAP_BITS) - 1)
-    word = F.get(bit_map, F.shiftright(slot, 6).cast("int"))
-    return F.call_function("getbit", word, F.col(seed).bitwiseAND(63).cast("int")) == 1
-
-
 def _windows(df: DataFrame) -> DataFrame:
     """A row per window: its start `i` and the array `h` of the text's word hashes."""
     some = df.filter(F.size("h") >= SPAN)
@@ -79,10 +66,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     seeds = bank.groupBy("seed").agg(F.collect_set(F.struct("item_id", "at", "item")).alias("places"))
     if bank.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
-    bit_map = _bit_map(bank).scalar()
+    bits = bit_map(bank, "seed", MAP_BITS)
     texts = docs.select("doc_id", hashed("text").alias("h"))
     windows = _windows(texts)
-    windows = windows.select("doc_id", "i", "h", F.explode(F.array(*_seeds())).alias("seed")).filter(_may_be_in(bit_map, "seed"))
+    windows = windows.select("doc_id", "i", "h", F.explode(F.array(*_seeds())).alias("seed")).filter(may_be_in(bits, F.col("seed"), MAP_BITS))
     hits = windows.join(seeds, "seed").select("doc_id", "h", "i", F.explode("places").alias("p"))
     hits = hits.select("doc_id", "h", F.col("p.item_id").alias("item_id"), (F.col("i") - F.col("p.at")).alias("start"), F.col("p.item").alias("item"))
     # the words of both along the alignment
@@ -104,8 +91,8 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the rows of documents that overlap a benchmark item."""
-    leaky = overlaps(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaky, "doc_id", "left_anti").select(*docs.columns)
+    leaky = Scratch(docs.sparkSession, "leaks").save(overlaps(docs, benchmark).select("doc_id").distinct(), "leaky")
+    return without(docs, leaky, "doc_id")
 
 
 _SEED_SQL = ", ".join(f"concat_ws(' ', {m}, {', '.join(f'h[i + {k + 1}]' for k in mask)})" for m, mask in enumerate(MASKS))

@@ -6,13 +6,15 @@ others by weight.  A source is first taken whole as often as its target holds it
 What is left is filled in the order of exponential keys -ln(u) / weight, u from a hash of the
 document and weight its quality: documents whose running size ends nearest the budget.
 
-The order is found without sorting a source in one task: keys are cut into SLICES slices, small
-per-slice sums give each slice's start, and running sums are taken within a slice only.
+The order is found without sorting a source: keys are cut into slices of equal ratio, small per-slice sums
+give each slice's start, and only the slice in which a budget ends is put in order.  All slices before it
+are taken whole, none behind it, and their rows stay where they are; texts are read again, never stored.
+Sources are few against documents: a row for each is ordered in one task.
 
 Defined results: size counts words `[^\x20\x09-\x0D]+`; null and empty texts have size 0, are never
 taken and do not change any sum.  Null sources are one source.  Rows that repeat share a key and
 follow each other; ties are ordered by doc_id and text hash, so reruns agree.  An empty table gives
-an empty result; extra columns pass through `mix` untouched.
+an empty result; extra columns pass through `mix` untouched, but for those named as its own four.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-WEIGHTS, MOST, SLICES, SEED = (5, 2, 1), 3, 1024, 17
+WEIGHTS, MOST, SEED = (5, 2, 1), 3, 17
+#: slices of a source for each factor of e in the keys: whatever the weights, none holds over 0.4 / SLICES of them
+SLICES = 2048
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -53,28 +57,38 @@ def targets(sizes: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Columns `keep` of each row, and size, source_size, target and taken (words, repeats counted)."""
     scratch = Scratch(docs.sparkSession, "mixing")
+    keep = [c for c in keep if c not in ("size", "source_size", "target", "taken")]
     # 52 bits of a hash of the document, as a number between 0 and 1
     digest = F.md5(F.concat_ws(":", F.lit(SEED), F.col("doc_id").cast("string"), "text"))
     u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
     names = list(dict.fromkeys([*keep, "source", "doc_id"]))
-    base = docs.select(*names, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("__size"), (-F.log(u) / quality()).alias("__key"), F.xxhash64("text").alias("__text"))
-    base = base.withColumn("__slice", F.floor((1 - F.exp(-F.col("__key"))) * SLICES))
-    base = scratch.save(base, "sizes")
-    slices = base.groupBy("source", "__slice").agg(F.sum("__size").alias("words"))
+    rows = docs.select(*names, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("__size"), (-F.log(u) / quality()).alias("__key"), F.xxhash64("text").alias("__text"))
+    rows = rows.withColumn("__slice", F.floor(F.log("__key") * SLICES))
+    slim = scratch.save(rows.select(*(c for c in rows.columns if c != "text")), "sizes")
+    if "text" not in keep:
+        rows = slim
+    slices = slim.groupBy("source", "__slice").agg(F.sum("__size").alias("words"))
     start = F.sum("words").over(Window.partitionBy("source").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
     slices = scratch.save(slices.withColumn("start", F.coalesce(start, F.lit(0))), "slices")
     goal = targets(slices.groupBy("source").agg(F.sum("words").alias("source_size"))).withColumnRenamed("source", "s")
-    plan = slices.join(goal, F.col("source").eqNullSafe(F.col("s"))).select("s", F.col("__slice").alias("k"), "start", "source_size", "target")
-    row = base.join(plan, F.col("source").eqNullSafe(F.col("s")) & (F.col("__slice") == F.col("k")))
-    order = Window.partitionBy("source", "__slice").orderBy("__key", "doc_id", "__text").rowsBetween(Window.unboundedPreceding, 0)
-    row = row.withColumn("__end", F.col("start") + F.sum("__size").over(order))
     # a target is at most 3 sizes by construction; rounding must not make a fourth epoch of it
     epochs = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size") + 1e-12), F.lit(MOST))).otherwise(F.lit(0))
-    row = row.withColumn("__epochs", epochs).withColumn("__left", F.col("target") - F.col("__epochs") * F.col("source_size"))
+    goal = goal.withColumn("epochs", epochs)
+    goal = goal.withColumn("left", F.when(F.col("epochs") < MOST, F.col("target") - F.col("epochs") * F.col("source_size")).otherwise(F.lit(-1.0)))
+    ends = F.col("start") + F.col("words")
+    cut = (F.col("start") < F.col("left")) & (ends > F.col("left"))
+    plan = slices.join(goal, F.col("source").eqNullSafe(F.col("s"))).groupBy("s", "source_size", "target", "epochs", "left")
+    plan = plan.agg(F.max(F.when(ends <= F.col("left"), F.col("__slice"))).alias("whole"), F.max(F.when(cut, F.col("__slice"))).alias("cut"), F.max(F.when(cut, F.col("start"))).alias("start"))
+    plan = scratch.save(plan.select(*(F.col(c).alias(f"__{c}") for c in plan.columns)), "plan")
+    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("__s")))
+    in_cut = F.coalesce(F.col("__slice") == F.col("__cut"), F.lit(False))
+    out = [*keep, F.col("__size").alias("size"), F.col("__source_size").cast("long").alias("source_size"), F.col("__target").alias("target")]
+    taken = lambda more: (F.col("__size") * (F.col("__epochs") + F.coalesce(more, F.lit(False)).cast("int"))).cast("long").alias("taken")
+    most = placed.filter(~in_cut).select(*out, taken(F.col("__slice") <= F.col("__whole")))
     # the document that crosses the budget is taken if that ends nearer to it
-    more = (F.col("__epochs") < MOST) & (F.col("__end") - F.col("__size") / 2 <= F.col("__left"))
-    taken = (F.col("__size") * (F.col("__epochs") + more.cast("int"))).cast("long")
-    return row.select(*keep, F.col("__size").alias("size"), F.col("source_size").cast("long").alias("source_size"), "target", taken.alias("taken"))
+    order = Window.partitionBy("source").orderBy("__key", "doc_id", "__text").rowsBetween(Window.unboundedPreceding, 0)
+    few = placed.filter(in_cut).withColumn("__end", F.col("__start") + F.sum("__size").over(order))
+    return most.unionByName(few.select(*out, taken(F.col("__end") - F.col("__size") / 2 <= F.col("__left"))))
 
 
 def op7_efraimidis_spirakis(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .bytekit import LOWER, SPACE, U, Prefix, blocks, mix, ngrams, repeats, stream
 from .graph import components
 from .scratch import Scratch
+from .sieve import bit_map, may_be_in, without
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 SIDE, ROWS = 10, 2
@@ -57,15 +58,23 @@ def shingles(block) -> tuple[np.ndarray, np.ndarray]:
     return h[order], d[order]
 
 
+def digests(h: np.ndarray, d: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and digests (two words) of the sets of so many documents."""
+    n = np.bincount(d, minlength=docs)
+    some, out = np.flatnonzero(n), np.zeros((docs, 2), U)
+    if len(some):
+        at = np.searchsorted(d, some)
+        out[some, 0], out[some, 1] = np.add.reduceat(mix(h), at), np.add.reduceat(mix(h ^ U(0x5851F42D4C957F2D)), at)
+    return n, out
+
+
 def sketch_block(block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Set sizes, set digests (two words) and the 2 * SIDE band hashes of each document."""
     h, d = shingles(block)
-    n = np.bincount(d, minlength=block.n)
-    some = np.flatnonzero(n)
-    digest, bands = np.zeros((block.n, 2), U), np.zeros((block.n, 2 * SIDE), U)
+    n, digest = digests(h, d, block.n)
+    some, bands = np.flatnonzero(n), np.zeros((block.n, 2 * SIDE), U)
     if len(some):
         at = np.searchsorted(d, some)
-        digest[some, 0], digest[some, 1] = np.add.reduceat(mix(h), at), np.add.reduceat(mix(h ^ U(0x5851F42D4C957F2D)), at)
         for j in range(2 * SIDE):
             value = np.full(len(some), j % SIDE, U)
             for r in range(ROWS):
@@ -99,7 +108,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, s): the sorted full shingle set of each document, eight bytes a shingle."""
+    """(doc_id, n, d0, d1, s): size and digest of each document's shingle set, and the sorted set, eight bytes a shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,9 +117,10 @@ def sets(docs: DataFrame) -> DataFrame:
                 h, d = shingles(block)
                 ends = np.searchsorted(d, np.arange(block.n + 1))
                 packed = [np.sort(h[ends[i] : ends[i + 1]]).tobytes() for i in range(block.n)]
-                yield pa.RecordBatch.from_arrays([ids.slice(block.first, block.n), pa.array(packed, pa.binary())], ["doc_id", "s"])
+                n, digest = digests(h, d, block.n)
+                yield pa.RecordBatch.from_arrays([ids.slice(block.first, block.n), pa.array(n), _longs(digest[:, 0]), _longs(digest[:, 1]), pa.array(packed, pa.binary())], ["doc_id", "n", "d0", "d1", "s"])
 
-    return _rows(docs, run, "doc_id long, s binary")
+    return _rows(docs, run, "doc_id long, n long, d0 long, d1 long, s binary")
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,9 +177,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each distinct doc_id of (doc_id, text)."""
     scratch = Scratch(docs.sparkSession, "neardup")
     sketch = scratch.save(sketches(docs), "sketches")
-    one = sketch.groupBy("doc_id").agg(F.max(F.struct("n", "d0", "d1")).alias("m")).select("doc_id", F.col("m.n").alias("n"), F.col("m.d0").alias("d0"), F.col("m.d1").alias("d1"))
-    classes = one.filter("n > 0 and doc_id is not null").groupBy("n", "d0", "d1").agg(F.min("doc_id").alias("rep"))
-    some = sketch.filter("n > 0").join(classes, ["n", "d0", "d1"]).filter("doc_id = rep").dropDuplicates(["doc_id"])
+    one = scratch.save(sketch.groupBy("doc_id").agg(F.max(F.struct("n", "d0", "d1")).alias("m")).select("doc_id", "m.*"), "one")
+    classes = one.filter("n > 0 and doc_id is not null").groupBy("n", "d0", "d1").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    classes = scratch.save(classes, "classes")
+    # the rows of the smallest doc_id of each class; a group of copies never meets in one task
+    own = [F.col(c).alias(f"r_{c}") for c in ("n", "d0", "d1")]
+    some = sketch.join(classes.select(*own, "rep"), F.col("doc_id") == F.col("rep")).filter("n = r_n and d0 = r_d0 and d1 = r_d1").dropDuplicates(["doc_id"])
     reps = scratch.save(some.select("doc_id", "n", "a", "b"), "reps")
     half = reps.select("doc_id", "n", "b", F.posexplode("a").alias("i", "x"))
     keys = half.select("doc_id", "n", "i", "x", F.posexplode("b").alias("j", "y")).select("doc_id", "n", F.xxhash64("i", "j", "x", "y").alias("key"))
@@ -181,14 +194,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = shared.select("key", "doc_id", "n")
 
     # full sets of all that may ever be compared: members of shared keys
-    wanted = shared.select("doc_id").distinct()
-    full = scratch.save(sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
+    bits = bit_map(shared.select(F.xxhash64("doc_id").alias("at")), "at")
+    full = sets(docs.filter(may_be_in(bits, F.xxhash64(F.col("doc_id").cast("long")))))
+    if sketch.count() > one.count():  # of several texts the larger set, as in `one`
+        full = full.groupBy("doc_id").agg(F.max(F.struct("n", "d0", "d1", "s")).alias("m")).select("doc_id", "m.s")
+    full = scratch.save(full.select("doc_id", "s"), "sets")
 
     def confirmed(candidates: DataFrame) -> DataFrame:
         left, right = full.select(F.col("doc_id").alias("a"), F.col("s").alias("p")), full.select(F.col("doc_id").alias("b"), F.col("s").alias("q"))
         both = candidates.join(left, "a").join(right, "b").select("a", "b", "p", "q")
         return scratch.save(both.mapInArrow(_confirm, "a long, b long, linked boolean"), "links")
 
+    scratch.drop(sketch, reps)
     links = confirmed(pairs).filter("linked").select("a", "b")
     labels = components(links, scratch)
     known = members.join(labels, members.doc_id == labels.v, "left").select("key", "doc_id", "n", F.coalesce("c", "doc_id").alias("c"))
@@ -198,8 +215,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = confirmed(more).filter("linked").select("a", "b")
     if found.limit(1).count():
         labels = components(links.union(found), scratch)
-    placed = classes.join(labels, classes.rep == labels.v, "left").select("n", "d0", "d1", F.coalesce("c", "rep").alias("c"))
-    return one.join(placed, ["n", "d0", "d1"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
+    placed = scratch.save(classes.join(labels, classes.rep == labels.v, "left").select("n", "d0", "d1", "copies", F.coalesce("c", "rep").alias("c")), "placed")
+    # classes that hold a thousandth of the documents or more are a thousand at most: only the others are dealt out
+    same, limit = ["n", "d0", "d1"], one.count() / 1000
+    hot = F.broadcast(placed.filter(F.col("copies") >= limit).select(*same, "c"))
+    cold = placed.filter(F.col("copies") < limit).select(*same, "c")
+    every = one.join(hot, same).unionByName(one.join(hot, same, "left_anti").join(cold, same, "left"))
+    return every.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
 
 
 def op9_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,8 +231,9 @@ def op9_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without all but the smallest doc_id of each near-duplicate component."""
-    gone = near_duplicates(docs).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    scratch = Scratch(docs.sparkSession, "kept")
+    gone = scratch.save(near_duplicates(docs).filter("doc_id <> component_id").select("doc_id"), "gone")
+    return without(docs, gone, "doc_id")
 
 
 ORACLE_SQL = r"""
