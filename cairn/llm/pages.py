@@ -8,9 +8,12 @@ ways, so each is judged in the light of the whole page, and labels it main text
 The labeller is trained on the driver from a bounded table of labelled pages, made from a fixed seed
 by `labelled_pages`; no row of the corpus is part of it.  Pages are independent: nothing is shuffled.
 
+A page is read once, tag by tag, in time linear in its length whatever it holds: unclosed quotes, tags that never
+end, elements nested without end.
+
 Defined results: null and empty html give the empty text; a page without main text too.  Scripts,
-styles, templates, the head and form fields never are blocks; a head ends at the first block-level tag,
-a button, select, option or object whose end tag is missing does too.  `<br>` is white space.  White space in
+styles, templates, frames, the head and form fields never are blocks; a head ends at the first block-level tag,
+a button, select or option whose end tag is missing does too.  `<br>` is white space.  White space in
 a block is one space; blocks are trimmed and joined by \n in page order; nothing else is dropped.
 Repeated rows give repeated rows; extra columns pass through `extract` untouched; an empty table
 gives an empty result.
@@ -21,8 +24,11 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,113 +41,172 @@ HIDDEN, TRAIN_PAGES, EPOCHS, BATCH, RATE = 16, 500, 10, 20, 0.01
 
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: elements whose content is never text of the page
-DROPPED = frozenset("button canvas head iframe math noscript object option script select style svg template textarea title".split())
-RAW = frozenset("script style textarea title noscript iframe template".split())
+#: elements whose content is never text of the page: what is not shown, and the fields of forms
+DROPPED = frozenset("button head iframe option script select style template textarea title".split())
+RAW = frozenset("script style textarea title iframe template".split())
 #: dropped elements that pages leave open: the first block ends the head, and the others where their end tag is missing
-BOUNDED = {t: re.compile(rf"<(/?){t}\b", re.I) for t in "button head object option select".split()}
+BOUNDED = {t: re.compile(rf"<(/?){t}\b", re.I) for t in "button option select".split()}
 #: an open element of these ends where a sibling of the same set begins
-CLOSES = {"p": frozenset("p"), "li": frozenset("li"), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "tr": frozenset(("tr", "td", "th")), "td": frozenset(("td", "th")), "th": frozenset(("td", "th")), "option": frozenset(("option",))}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+CLOSES = {"p": frozenset("p"), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")), "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p"))}
+TAG, STOP = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)"), re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
 
 @lru_cache(maxsize=1 << 14)
-def _names(tag: str, attributes: str) -> tuple[str, ...]:
-    """The names by which a path knows an element: its tag, and the words of its class, id and role."""
+def _masks(tag: str, attributes: str) -> tuple[int, int]:
+    """Bins by which a path knows an element, its tag and the words of its class, id and role: as one of the path, as its last."""
     words = [w for m in ATTRIBUTE.finditer(attributes) for w in re.split(r"[^a-z]+", (m[2] or m[3] or m[4] or "").lower()) if w]
-    return (tag, *(f".{w}" for w in words))
-
-
-def _left_open(tag: str, page: str, at: int) -> bool:
-    """Whether a block at `at` ends an open dropped element `tag`."""
-    if tag == "head" or tag not in BOUNDED:
-        return tag == "head"
-    later = (m[1] for m in BOUNDED[tag].finditer(page, at))
-    # objects nest, the others end at the next of their kind
-    return not any(later) if tag == "object" else not next(later, "")
-
-
-def leaf_blocks(page: str) -> list[tuple[str, tuple[tuple[str, ...], ...], int]]:
-    """(text, path, characters of link text) of each leaf block that has text."""
-    out: list[tuple[str, tuple[tuple[str, ...], ...], int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    names = [tag, *(f".{w}" for w in words)]
+    bit = lambda x: 1 << zlib.crc32(x.encode("utf-8", "surrogatepass")) % PATH_BINS
+    return reduce(or_, (bit(x) for x in names if x not in ("html", "body")), 0), reduce(or_, (bit(f"/{x}") for x in names), 0)
+
+
+class Tags:
+    """The tags of a page in order; the page is read once, whatever it holds."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in ">\"'"}
+        self.quotes = True
+        self._ends: dict[str, list[tuple[int, bool]]] = {}
+
+    def end(self, at: int) -> int:
+        """Where the tag that begins before `at` ends; quotes that nothing closes are letters like any other."""
+        if self.quotes:
+            i = at
+            while m := STOP.search(self.page, i):
+                if m[0] == ">":
+                    return m.start()
+                i = m.end()
+                if m.start() < self.last[m[0]]:
+                    i = self.page.find(m[0], i) + 1
+            # no end outside of quotes here means none for any later tag
+            self.quotes = False
+        return self.page.find(">", at)
+
+    def left_open(self, tag: str, at: int) -> bool:
+        """Whether a block at `at` ends an open dropped element `tag`: what comes next of its kind is not its end."""
+        if tag == "head" or tag not in BOUNDED:
+            return tag == "head"
+        if tag not in self._ends:
+            self._ends[tag] = [(m.start(), bool(m[1])) for m in BOUNDED[tag].finditer(self.page)]
+        i = bisect_left(self._ends[tag], (at, False))
+        return i == len(self._ends[tag]) or not self._ends[tag][i][1]
+
+
+class Block(NamedTuple):
+    text: str
+    #: bins of the path
+    mask: int
+    depth: int
+    #: characters of link text
+    links: int
+
+
+def leaf_blocks(page: str) -> list[Block]:
+    """The leaf blocks that have text."""
+    out: list[Block] = []
+    #: open elements, and where in it each tag, each block and each dropped element stands
+    stack: list[str] = []
+    places: dict[str, list[int]] = {}
+    blocks: list[tuple[int, int, int]] = []
+    dropped: list[int] = []
     parts: list[str] = []
-    links = dropped = anchors = 0
+    links = 0
     at, size = 0, len(page)
+    tags = Tags(page)
 
     def flush() -> None:
         nonlocal links
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                out.append((text, tuple(n for t, n in stack if t in BLOCK), links))
+                _, mask, last = blocks[-1] if blocks else (0, 0, 0)
+                out.append(Block(text, mask | last, len(blocks), links))
             parts.clear()
         links = 0
 
+    def close(to: int) -> None:
+        while len(stack) > to:
+            places[stack.pop()].pop()
+        while blocks and blocks[-1][0] >= to:
+            blocks.pop()
+        while dropped and dropped[-1] >= to:
+            dropped.pop()
+
+    def say(text: str) -> None:
+        nonlocal links
+        if not dropped:
+            parts.append(text)
+            if places.get("a"):
+                links += len(text)
+
     while at < size:
-        m = TOKEN.match(page, at)
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            text = m[0]
-            if text[:2] not in ("<!", "<?") and not dropped:
-                parts.append(text)
-                if anchors:
-                    links += len(text)
+        here = page.find("<", at)
+        if here < 0 or here > tags.last[">"] and page[here : here + 4] != "<!--":
+            say(page[at:])
+            break
+        if here > at:
+            say(page[at:here])
+        at = here
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = end + 3 if end >= 0 else size
+            continue
+        if page.startswith(("<!", "<?"), at):
+            end = page.find(">", at)
+            at = end + 1 if end >= 0 else size
             continue
-        tag = tag.lower()
+        m = TAG.match(page, at)
+        if not m:
+            say("<")
+            at += 1
+            continue
+        end = tags.end(m.end())
+        tag, attributes = m[2].lower(), page[m.end() : end]
+        at = end + 1
+        block = tag in BLOCK
         if not m[1]:
             if tag == "br":
-                parts.append(" ")
+                say(" ")
                 continue
-            block = tag in BLOCK
-            if block and dropped:
-                i = next(i for i, (t, _) in enumerate(stack) if t in DROPPED)
-                if all(t not in DROPPED or _left_open(t, page, at) for t, _ in stack[i:]):
-                    anchors -= sum(t == "a" for t, _ in stack[i:])
-                    dropped = 0
-                    del stack[i:]
+            if block and dropped and all(tags.left_open(stack[i], at) for i in dropped):
+                close(dropped[0])
             if block and not dropped:
                 flush()
-            if tag in VOID or m[3].endswith("/"):
+            if tag in VOID or attributes.endswith("/"):
                 continue
             if tag in RAW:  # its content holds no tags: skip to its end
-                end = re.compile(rf"</{tag}\b", re.I).search(page, at)
-                at = end.start() if end else size
-            if block and not dropped:
-                # an open paragraph ends at any block; list items and cells at the next
-                ends = CLOSES.get(tag, frozenset()) | {"p"}
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ends:
-                        anchors -= sum(t == "a" for t, _ in stack[i:])
-                        del stack[i:]
-                        break
-                    if stack[i][0] in BLOCK:
-                        break
-            stack.append((tag, _names(tag, m[3])))
-            dropped += tag in DROPPED
-            anchors += tag == "a"
+                ends = re.compile(rf"</{tag}\b", re.I).search(page, at)
+                at = ends.start() if ends else size
+            # an open paragraph ends at any block; list items and cells at the next
+            if block and not dropped and blocks and stack[blocks[-1][0]] in CLOSES.get(tag, CLOSES["p"]):
+                close(blocks[-1][0])
+            places.setdefault(tag, []).append(len(stack))
+            if block:
+                own, last = _masks(tag, attributes)
+                blocks.append((len(stack), own | (blocks[-1][1] if blocks else 0), last))
+            if tag in DROPPED:
+                dropped.append(len(stack))
+            stack.append(tag)
         else:
-            i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if i is None or tag not in BLOCK and tag not in DROPPED and any(t in BLOCK for t, _ in stack[i:]):
-                if tag in BLOCK and not dropped:
+            i = places[tag][-1] if places.get(tag) else -1
+            across = i >= 0 and bool(blocks) and blocks[-1][0] >= i
+            if i < 0 or not block and tag not in DROPPED and across:
+                if block and not dropped:
                     flush()
                 continue
-            if (tag in BLOCK or any(t in BLOCK for t, _ in stack[i:])) and not dropped:
+            if (block or across) and not dropped:
                 flush()
-            anchors -= sum(t == "a" for t, _ in stack[i:])
-            dropped -= sum(t in DROPPED for t, _ in stack[i:])
-            del stack[i:]
+            close(i)
     if not dropped:
         flush()
     return out
 
 
 @lru_cache(maxsize=1 << 14)
-def _path_bins(path: tuple[tuple[str, ...], ...]) -> np.ndarray:
-    names = {x for names in path for x in names} | {f"/{x}" for names in path[-1:] for x in names}
-    return np.array(sorted({zlib.crc32(x.encode()) % PATH_BINS for x in names if x not in ("html", "body")}), np.int64)
+def _path_bins(mask: int) -> np.ndarray:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(mask.to_bytes(PATH_BINS // 8, "little"), np.uint8), bitorder="little"))
 
 
 @lru_cache(maxsize=1 << 16)
@@ -150,17 +215,17 @@ def _word_bin(word: str) -> tuple[int, float]:
     return PATH_BINS + (h >> 1) % WORD_BINS, 1.0 if h & 1 else -1.0
 
 
-def vectors(blocks: list[tuple[str, tuple[tuple[str, ...], ...], int]]) -> np.ndarray:
+def vectors(blocks: list[Block]) -> np.ndarray:
     x = np.zeros((len(blocks), INPUTS), np.float32)
-    for i, (text, path, links) in enumerate(blocks):
-        x[i, _path_bins(path)] = 1
+    for i, (text, mask, depth, links) in enumerate(blocks):
+        x[i, _path_bins(mask)] = 1
         words = text.lower().split(" ")
-        for w in words[:64]:
-            b, sign = _word_bin(w.strip(".,:;!?()"))
-            x[i, b] += sign
-        x[i, PATH_BINS : PATH_BINS + WORD_BINS] /= np.sqrt(min(len(words), 64))
+        bins = np.array([_word_bin(w.strip(".,:;!?()")) for w in words])
+        count = np.bincount(bins[:, 0].astype(np.int64), bins[:, 1], minlength=INPUTS)
+        # all words count, and a word said a thousand times no more than a thousand words
+        x[i] += count / max(1.0, np.sqrt((count * count).sum()))
         stops = text.count(".") + text.count("!") + text.count("?")
-        x[i, -MEASURES:] = (np.log1p(len(text)) / 6, min(links / len(text), 1), min(stops / len(words), 1), text[-1] in ".!?", len(path) / 8, i / len(blocks), "©" in text)
+        x[i, -MEASURES:] = (np.log1p(len(text)) / 6, min(links / len(text), 1), min(stops / len(words), 1), text[-1] in ".!?", depth / 8, i / len(blocks), "©" in text)
     return x
 
 
@@ -363,13 +428,14 @@ def examples(pages: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for page in pages:
         blocks = leaf_blocks(page)
-        y = np.array([MAIN in text for text, _, _ in blocks], np.float32)
-        x = vectors([(text.replace(MAIN, "") or "-", path, links) for text, path, links in blocks])
+        y = np.array([MAIN in b.text for b in blocks], np.float32)
+        x = vectors([b._replace(text=b.text.replace(MAIN, "") or "-") for b in blocks])
         if len(y):
             out.append((x, y))
     return out
 
 
+@lru_cache(maxsize=1)
 def train() -> BiLSTM:
     return BiLSTM().fit(examples(labelled_pages()))
 
