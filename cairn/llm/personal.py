@@ -7,7 +7,8 @@ The field labels each word of a line O, or the begin or inside of a kind.  Its f
 word shapes of the word and its neighbours, so it learns from a small labelled table, made by
 `labelled_table` from a fixed seed: a bounded training set that no document is part of.  Training is
 by exact gradients (forward and backward sums in log space); decoding is Viterbi over batches of
-lines of like length.  Decoded spans count only if they pass the exact test of their kind.
+lines of like length.  Of a decoded span only the letters that its kind can hold, the count of digits and the
+checksum are tested: forms that no pattern has, such as national numbers or addresses in words, are the field's.
 
 Defined results: null and empty texts have no spans.  Offsets are code points, end exclusive.
 Rows are independent, so repeated rows give repeated rows; extra columns pass through `find`
@@ -89,27 +90,61 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 _SHAPES = [(re.compile(p), r) for p, r in ((r"[A-Z]", "A"), (r"[^\W\d_A-Z]", "a"), (r"[0-9]", "9"))]
 
 
-@lru_cache(maxsize=1 << 16)
+def _of_short(f):
+    """Keeps the results for short texts: long ones would fill the memory."""
+    kept = lru_cache(maxsize=1 << 16)(f)
+    return lambda s: kept(s) if len(s) <= 128 else f(s)
+
+
+@_of_short
 def shape(word: str) -> str:
     """The word with letters as A or a, digits as 9, and long runs shortened to four and their count's band."""
     for pattern, r in _SHAPES:
         word = pattern.sub(r, word)
     word = re.sub(r"a{3,}", "aaa", re.sub(r"A{3,}", "AAA", word))
-    return re.sub(r"9{5,}", lambda m: f"9999<{len(m.group())}>", word)[:40]
+    return re.sub(r"9{5,}", lambda m: f"9999<{len(m.group())}>", word)
 
 
 def _bucket(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=4).digest(), "big") % BUCKETS
 
 
-@lru_cache(maxsize=1 << 16)
+@_of_short
+def _digits(s: str) -> int:
+    """Digits of a shape."""
+    return s.count("9") + sum(int(n) - 4 - n.count("9") for n in re.findall(r"<(\d+)>", s))
+
+
+@_of_short
 def _shape_features(s: str) -> tuple[tuple[int, ...], tuple[int, ...], tuple[int, ...]]:
     """Bins of a shape as the word itself, as the one before and as the one after."""
-    digits = sum(c == "9" for c in s) + sum(int(n) - 4 for n in re.findall(r"<(\d+)>", s))
-    own = [s, f"d{min(digits, 20)}", f"@{'@' in s}", f"+{s[:1] == '+'}", f"dots{s.count('.')}", f"alpha{set(s) <= set('aA,.')}"]
+    own = [s, f"d{min(_digits(s), 20)}", f"@{'@' in s}", f"+{s[:1] == '+'}", f"dots{s.count('.')}", f"alpha{set(s) <= set('aA,.')}", f"at{s.strip('[]()')}"]
     return tuple(_bucket(f"0{x}") for x in own), tuple(_bucket(f"-{x}") for x in own[:2] + own[3:4]), tuple(_bucket(f"+{x}") for x in own[:2])
 
 
+@lru_cache(maxsize=1 << 16)
+def _run_features(before: int, digits: int, after: int, plus: bool) -> tuple[int, int]:
+    """Bins of a word with digits by the digits before and after it in a run of such words, and how the run begins."""
+    return _bucket(f"b{before}|{digits}|{plus}"), _bucket(f"a{after}|{digits}")
+
+
+def _runs(shapes: list[str]) -> list[tuple[int, int]]:
+    """Of each word the two bins of its place in a run of words with digits; of other words none, as (-1, -1)."""
+    count = [_digits(s) for s in shapes]
+    out = [(-1, -1)] * len(shapes)
+    i = 0
+    while i < len(count):
+        j = i
+        while j < len(count) and count[j]:
+            j += 1
+        total, before = sum(count[i:j]), 0
+        for k in range(i, j):
+            out[k] = _run_features(min(before, 30), min(count[k], 30), min(total - before - count[k], 30), shapes[i][:1] == "+")
+            before += count[k]
+        i = max(j, i + 1)
+    return out
+
+
 class Field:
     """weights (BUCKETS, labels) of features, and (labels, labels) of transitions."""
 
@@ -118,17 +153,23 @@ class Field:
         self._cache: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
     def _parts(self, s: str):
-        if s not in self._cache:
+        if s in self._cache:
+            return self._cache[s]
+        parts = tuple(self.weights[list(f)].sum(0) for f in _shape_features(s))
+        if len(s) <= 128:
             if len(self._cache) > 1 << 16:
                 self._cache.clear()
-            self._cache[s] = tuple(self.weights[list(f)].sum(0) for f in _shape_features(s))
-        return self._cache[s]
+            self._cache[s] = parts
+        return parts
 
     def emissions(self, shapes: list[str]) -> np.ndarray:
         parts = [self._parts(s) for s in shapes]
         out = np.array([p[0] for p in parts])
         out[1:] += np.array([p[1] for p in parts[:-1]]).reshape(-1, len(LABELS))
         out[:-1] += np.array([p[2] for p in parts[1:]]).reshape(-1, len(LABELS))
+        run = np.array(_runs(shapes))
+        some = run[:, 0] >= 0
+        out[some] += self.weights[run[some]].sum(1)
         return out
 
     def decode(self, lines: list[list[str]]) -> list[np.ndarray]:
@@ -172,9 +213,9 @@ class Field:
         where, bins = [], []
         for i, (line, label) in enumerate(zip(lines, labels, strict=True)):
             y[i, : len(label)] = label
-            f = [_shape_features(s) for s in line]
+            f, run = [_shape_features(s) for s in line], _runs(line)
             for t in range(len(line)):
-                own = f[t][0] + (f[t - 1][1] if t else ()) + (f[t + 1][2] if t + 1 < len(line) else ())
+                own = f[t][0] + (f[t - 1][1] if t else ()) + (f[t + 1][2] if t + 1 < len(line) else ()) + (run[t] if run[t][0] >= 0 else ())
                 bins += own
                 where += [i * t_max + t] * len(own)
         where, bins = np.array(where), np.array(bins)
@@ -216,6 +257,12 @@ class Field:
 
 
 def labelled_table(n: int = TRAIN_LINES, seed: int = 3) -> tuple[list[list[str]], list[list[int]]]:
+    """Lines of word shapes and their labels."""
+    lines, labels = labelled_lines(n, seed)
+    return [[shape(w) for w in line] for line in lines], labels
+
+
+def labelled_lines(n: int, seed: int) -> tuple[list[list[str]], list[list[int]]]:
     """Lines of words and their labels: personal data among plain words and other numbers."""
     rng = np.random.default_rng(seed)
     pick = lambda xs: xs[rng.integers(len(xs))]
@@ -231,23 +278,25 @@ def labelled_table(n: int = TRAIN_LINES, seed: int = 3) -> tuple[list[list[str]]
         return sep.join(d[i : i + 4] for i in range(0, k, 4)).split(" ")
 
     def phone() -> list[str]:
-        a, b, c = digits(3), digits(3), digits(4)
-        return pick([f"+{between(1, 99)} ({a}) {b}-{c}", f"+{between(1, 99)} {a} {b} {c}", f"+{between(1, 99)}-{a}-{b}-{c}", f"+{between(1, 99)}{a}{b}{c}", f"({a}) {b}-{c}", f"+{between(1, 99)} {a}.{b}.{c}", f"{a}-{b}-{c}"]).split(" ")
+        a, b, c, k = digits(3), digits(3), digits(4), between(1, 99)
+        world = [f"+{k} ({a}) {b}-{c}", f"+{k} {a} {b} {c}", f"+{k}-{a}-{b}-{c}", f"+{k}{a}{b}{c}", f"+{k} {a}.{b}.{c}", f"+{k} {digits(4)} {digits(6)}"]
+        home = [f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a} {b} {c}", f"{a}.{b}.{c}", f"({a}) {b} {c}", f"0{a} {digits(4)} {digits(4)}"]
+        return pick(pick([world, home])).split(" ")
+
+    def email() -> list[str]:
+        name, host, end = f"{letters(2, 9)}{pick(['', '.', '_'])}{pick(['', digits(2)])}", f"{letters(2, 8)}{pick(['', digits(1)])}", pick(["com", "org", "de", "example.com"])
+        plain = f"{name}@{host}.{end}"
+        return pick([plain, plain, plain, f"{name} [at] {host}.{end}", f"{name} (at) {host}.{end}", f"{name} [at] {host} [dot] {end}", f"{name} (at) {host} (dot) {end}", f"{name}[at]{host}.{end}", f"{name}@{host} .{end}"]).split(" ")
 
     def plain() -> list[str]:
         w = letters(1, 10)
-        return [pick([w, w, w, w, w.capitalize(), w + ",", w + ".", w.upper()])]
+        return [pick([w, w, w, w, w.capitalize(), w + ",", w + ".", w.upper(), f"({w})", f"[{w}]", "at", "dot"])]
 
     def other() -> list[str]:
         """Numbers and signs that are nobody's."""
-        return [pick([digits(between(1, 9)), f"{between(1900, 2030)}", f"{digits(2)}.{digits(1)}", f"{between(1, 99)}.", f"{digits(1)}.{digits(1)}.{digits(2)}", f"v{digits(1)}.{digits(2)}", f"{digits(4)}-{digits(2)}-{digits(2)}", f"{letters(2, 6)}={letters(1, 4)}{digits(4)}", f"@{letters(3, 8)}", f"+{digits(1)}", digits(between(20, 26)), f"({digits(1)})", f"{letters(2, 5).upper()}{digits(4)}", f"{digits(1)},{digits(3)}", "".join(pick([letters(1, 3), digits(2)]) for _ in range(8))])]
-
-    makers = {
-        "email": lambda: [f"{letters(2, 9)}{pick(['', '.', '_'])}{pick(['', digits(2)])}@{letters(2, 8)}{pick(['', digits(1)])}.{pick(['com', 'org', 'de', 'example.com'])}"],
-        "ip": lambda: [".".join(str(between(0, 256)) for _ in range(4))],
-        "card": card,
-        "phone": phone,
-    }
+        return pick([digits(between(1, 9)), f"{between(1900, 2030)}", f"{digits(2)}.{digits(1)}", f"{between(1, 99)}.", f"{digits(1)}.{digits(1)}.{digits(2)}", f"v{digits(1)}.{digits(2)}", f"{digits(4)}-{digits(2)}-{digits(2)}", f"{letters(2, 6)}={letters(1, 4)}{digits(4)}", f"@{letters(3, 8)}", f"+{digits(1)}", digits(between(20, 26)), digits(between(10, 14)), f"({digits(1)})", f"{letters(2, 5).upper()}{digits(4)}", f"{digits(1)},{digits(3)}", f"{between(1, 99)},{digits(3)},{digits(3)}", f"{digits(4)}-{digits(2)}-{digits(2)} {digits(2)}:{digits(2)}:{digits(2)}", f"978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}", f"{digits(2)} {digits(2)} {digits(2)}", f"{digits(3)} {digits(3)}", f"{digits(2)}.{digits(2)}.{digits(4)}", "".join(pick([letters(1, 3), digits(2)]) for _ in range(8))]).split(" ")
+
+    makers = {"email": email, "ip": lambda: [".".join(str(between(0, 256)) for _ in range(4))], "card": card, "phone": phone}
     lines, labels = [], []
     for _ in range(n):
         line, label = [], []
@@ -257,28 +306,30 @@ def labelled_table(n: int = TRAIN_LINES, seed: int = 3) -> tuple[list[list[str]]
             line += words
             k = 1 + 2 * KINDS.index(kind) if kind in makers else 0
             label += [k, *([k + 1] * (len(words) - 1))] if k else [0] * len(words)
-        lines.append([shape(w) for w in line])
+        lines.append(line)
         labels.append(label)
     return lines, labels
 
 
+@lru_cache(maxsize=1)
 def train() -> Field:
     return Field.fit(*labelled_table())
 
 
 _FIRST, _LAST = re.compile(r"[0-9A-Za-z+(]"), re.compile(r"[0-9A-Za-z]")
-_TESTS = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+#: what a decoded span may hold; beyond this only digits are counted and checksums taken, the field decides the rest
+_MADE_OF = {
+    "email": re.compile(r"[^\s@\[(]+\s*(?:@|[\[(]at[\])])\s*\S+?(?:\s*(?:\.|[\[(]dot[\])])\s*[^\s@]+)+", re.I),
     "ip": re.compile(r"[0-9]+(\.[0-9]+){3}"),
-    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
-    "phone": re.compile(r"[+(][\x20().0-9-]+[0-9]"),
+    "card": re.compile(r"[0-9][\x20.0-9-]+"),
+    "phone": re.compile(r"[+(0-9][\x20()./0-9-]+"),
 }
 
 
 def field_spans(text: str, field: Field) -> list[tuple[int, int, int]]:
-    """Spans that the field decodes and that pass the exact test of their kind.
+    """Spans that the field decodes, with digits and checksum of their kind.
 
-    Lines without a digit or @ hold no word that any test could pass, and are not decoded.
+    Lines without a digit, @ or (at) hold no word that any test could pass, and are not decoded.
     """
     words, lines = [], []
     for line in re.finditer(r"[^\n]+", text):
@@ -303,13 +354,13 @@ def field_spans(text: str, field: Field) -> list[tuple[int, int, int]]:
             head, tail = _FIRST.search(text, a, b), _LAST.search(text[a:b][::-1])
             a, b = head.start() if head else b, b - tail.start() if tail else a
             span = text[a:b]
-            if span and _TESTS[KINDS[k]].fullmatch(span) and valid(KINDS[k], span):
+            if span and _MADE_OF[KINDS[k]].fullmatch(span) and valid(KINDS[k], span):
                 out.append((a, int(k), a + len(span)))
             i = j
     return out
 
 
-_HINT = re.compile(r"[0-9@]")
+_HINT = re.compile(r"[0-9@]|[\[(]at[\])]", re.I)
 
 
 def spans(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

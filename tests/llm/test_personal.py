@@ -55,3 +55,57 @@ def test_field_held_out_accuracy():
     lines, labels = personal.labelled_table(300, seed=77)
     right = sum(int((got == want).sum()) for got, want in zip(field.decode(lines), labels, strict=True))
     assert right / sum(map(len, labels)) >= 0.95
+
+
+def test_field_finds_spans_of_held_out_lines():
+    """Recall and precision of whole spans by kind, on lines of another seed; base spans count as found."""
+    field = personal.train()
+    lines, labels = personal.labelled_lines(400, seed=78)
+    hit, want, got = ({k: 0 for k in personal.KINDS} for _ in range(3))
+    for line, label in zip(lines, labels, strict=True):
+        truth, at = set(), 0
+        ends = []
+        for word in line:
+            ends.append((at, at + len(word)))
+            at += len(word) + 1
+        for i, y in enumerate(label):
+            if y % 2:
+                j = i + 1
+                while j < len(label) and label[j] == y + 1:
+                    j += 1
+                truth.add((ends[i][0], (y - 1) // 2, ends[j - 1][1]))
+        found = personal.spans(" ".join(line), field)[1]
+        for k, kind in enumerate(personal.KINDS):
+            want[kind] += sum(s[1] == k for s in truth)
+            got[kind] += sum(s[1] == k for s in found)
+            hit[kind] += sum(s[1] == k and s in truth for s in found)
+    assert all(hit[k] >= 0.85 * want[k] and hit[k] >= 0.85 * got[k] for k in personal.KINDS), (hit, want, got)
+
+
+def test_forms_that_no_pattern_has():
+    field = personal.train()
+    found = lambda t: [(personal.KINDS[k], t[a:b]) for a, k, b in personal.spans(t, field)[1]]
+    assert found("+1 555 010 2030 4111 1111 1111 1111") == [("phone", "+1 555 010 2030"), ("card", "4111 1111 1111 1111")]
+    assert found("call 555-010-2030 now") == [("phone", "555-010-2030")]
+    assert found("call 555 010 2030 please") == [("phone", "555 010 2030")]
+    assert found("write ann [at] example.com today") == [("email", "ann [at] example.com")]
+    assert found("order 1234567890 of 2023-01-15 10:30:22, 10,000,000 people") == []
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    from itertools import product
+
+    import numpy as np
+
+    field = personal.train()
+    shapes = [personal.shape(w) for w in "call +1 555 010-2030 a@b.co".split()]
+    e = field.emissions(shapes)
+    paths = np.array(list(product(range(len(personal.LABELS)), repeat=len(shapes))))
+    score = e[np.arange(len(shapes)), paths].sum(1) + field.moves[paths[:, :-1], paths[:, 1:]].sum(1)
+    assert field.decode([shapes])[0].tolist() == paths[score.argmax()].tolist()
+
+
+def test_long_words():
+    """A word is read whole: its @ or digits beyond any prefix are features."""
+    word = "aB" * 5000 + "@example.com"
+    assert "@" in personal.shape(word) and personal._digits(personal.shape("x" + "12" * 400)) == 800
