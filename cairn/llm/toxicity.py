@@ -6,14 +6,15 @@ punctuation, and the first 4, 5 and 6 bytes of longer words, hashed to 2**18 bin
     sigmoid(b + sum_i w_i + sum_{i<j} <v_i, v_j>)
 
 over the terms present, so a pair of terms (an insult and a group mention) can weigh more than the
-two alone.  Terms are selected by their difference in document frequency between the classes.
+two alone.  Terms are selected by their difference in document frequency between the classes, and both terms of
+a pair by that of the pair: words that are as common in either class alone may tell it together.
 
 The model is fitted on the driver with at most MAX_TRAIN labelled rows, the first by a hash of
 doc_id; that bound is its only sample.  Every text is then scored where it lies, without a shuffle.
 
 Defined results: null and empty texts have no terms and score sigmoid(b); null doc_ids are held in.
 Labels that are null teach nothing; where a doc_id is labelled more than once, the highest label
-counts.  Without labels the score is the prior 0.25.  The result has a row per input row; extra
+counts; of several texts of one doc_id the greatest is learnt from, and each is scored.  Without labels the score is the prior 0.25.  The result has a row per input row; extra
 columns are never read.
 """
 
@@ -31,6 +32,8 @@ from .bytekit import BREAK, LOWER, U, Prefix, blocks, repeats
 BITS, PREFIXES = 18, (4, 5, 6)
 MAX_TRAIN, MAX_TERMS, RANK = 8000, 4096, 8
 MIN_Z, STEPS, RATE, DECAY = 6.0, 200, 0.1, 2e-5
+#: pairs of terms: toxic rows that must hold both, pairs that are counted in all rows, and pairs that are taken
+PAIR_ROWS, PAIR_TRIES, MAX_PAIRS = 12, 4096, 512
 FOLDS = 5
 
 
@@ -50,6 +53,52 @@ def terms(block) -> tuple[np.ndarray, np.ndarray]:
     return h[~later].astype(np.int32), d[~later]
 
 
+def _separation(f1: np.ndarray, f: np.ndarray, n1: float, n: float) -> np.ndarray:
+    """How many standard errors apart the shares of rows are: `f1` of the n1 toxic ones, `f` of all n."""
+    p = f / n
+    return (f1 / n1 - (f - f1) / (n - n1)) / np.sqrt(np.maximum(p * (1 - p), 1 / n) * (1 / n1 + 1 / (n - n1)))
+
+
+def paired_terms(bins: np.ndarray, docs: np.ndarray, y: np.ndarray, f1: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Terms of the pairs that tell the classes apart better than either term does; docs ascend."""
+    n, n1 = len(y), float(y.sum())
+    # a term in more than a quarter of the rows is in most pairs and tells nothing in them
+    keep = (f1[bins] >= PAIR_ROWS) & (f[bins] <= n / 4)
+    bins, docs = bins[keep], docs[keep]
+    toxic = np.flatnonzero(y > 0)
+    rows = [np.sort(bins[a:b]).astype(np.int64) for a, b in zip(np.searchsorted(docs, toxic), np.searchsorted(docs, toxic, "right"), strict=True)]
+
+    def codes() -> Iterator[np.ndarray]:
+        for row in rows:
+            # a few terms of a row at a time against those behind them: bounded memory for any text
+            for i in range(0, len(row), 256):
+                part = row[i : i + 256]
+                a, b = np.triu_indices(len(part), 1)
+                yield np.concatenate(((part[a] << BITS) | part[b], ((part[:, None] << BITS) | row[None, i + 256 :]).reshape(-1)))
+
+    slots = 1 << 22
+    hashed = lambda c: (c.astype(U) * U(0x9E3779B97F4A7C15) >> U(42)).astype(np.int64)
+    count = np.zeros(slots, np.int32)
+    for c in codes():
+        np.add.at(count, hashed(c), 1)
+    often = [c[count[hashed(c)] >= PAIR_ROWS] for c in codes()]
+    pair, c1 = np.unique(np.concatenate([*often, np.zeros(0, np.int64)]), return_counts=True)
+    pair, c1 = pair[c1 >= PAIR_ROWS], c1[c1 >= PAIR_ROWS]
+    a, b = pair >> BITS, pair & ((1 << BITS) - 1)
+    chance = f[a] * f[b] / n * (n1 / n)
+    best = np.argsort(-(c1 - chance) / np.sqrt(chance + 1), kind="stable")[:PAIR_TRIES]
+    a, b, c1 = a[best], b[best], c1[best]
+    order = np.argsort(bins, kind="stable")
+    listed, at = docs[order], np.searchsorted(bins[order], np.arange((1 << BITS) + 1))
+    both = np.array([len(np.intersect1d(listed[at[i] : at[i + 1]], listed[at[j] : at[j + 1]], assume_unique=True)) for i, j in zip(a, b, strict=True)], float)
+    if not len(both):
+        return np.zeros(0, np.int64)
+    z, alone = _separation(c1, both, n1, n), np.abs(_separation(f1, f, n1, n))
+    better = np.flatnonzero((z > MIN_Z) & (z > np.maximum(alone[a], alone[b]) + 1))
+    better = better[np.argsort(-z[better], kind="stable")][:MAX_PAIRS]
+    return np.unique(np.concatenate((a[better], b[better])))
+
+
 def _sum_rows(values: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
     """Sum of the rows of each document; docs ascend."""
     out = np.zeros((n, *values.shape[1:]))
@@ -85,10 +134,10 @@ class FactorizationMachine:
             return empty
         f1 = np.bincount(bins, weights=y[docs], minlength=1 << BITS)
         f = np.bincount(bins, minlength=1 << BITS).astype(float)
-        p = f / n
-        z = (f1 / n1 - (f - f1) / n0) / np.sqrt(np.maximum(p * (1 - p), 1 / n) * (1 / n1 + 1 / n0))
+        z = _separation(f1, f, n1, n)
         order = np.argsort(-np.abs(z), kind="stable")[:MAX_TERMS]
         chosen = order[(np.abs(z[order]) > MIN_Z) & (f[order] >= 3)]
+        chosen = np.union1d(chosen, paired_terms(bins, docs, y, f1, f))
         if not len(chosen):
             return empty
         slot[chosen] = np.arange(len(chosen), dtype=np.int32)
@@ -127,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame) -> FactorizationMachine:
     known = labels.filter("toxic is not null and doc_id is not null").filter(fold() != 0)
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN)
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.first("toxic").alias("toxic"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,7 +1,10 @@
+import numpy as np
+import pyarrow as pa
 from fixtures import DOCS, rows, table
 from pyspark.sql import functions as F
 
 from cairn.llm import toxicity
+from cairn.llm.bytekit import blocks
 
 SF = "/root/testdata/sf0.01"
 
@@ -40,3 +43,48 @@ def test_edges(spark):
     kept = toxicity.reject_toxic(docs, labels)
     assert kept.columns == docs.columns and kept.count() == len(data)
     assert docs.filter(F.col("doc_id").isNull()).select(F.coalesce(toxicity.fold() == 0, F.lit(False)).alias("h")).first().h is False
+
+
+def test_words_that_tell_only_together():
+    """Insult and group are as common in clean rows as in toxic ones; only together they make a row toxic."""
+    rng = np.random.default_rng(6)
+    words = lambda: [f"w{x}" for x in rng.integers(0, 300, 20)]
+
+    def made(n):
+        texts, y = [], []
+        for i in range(n):
+            row = words()
+            # a tenth is toxic, a fifth of that by the pair; a fifth of the clean rows hold either word, none both
+            if i % 10 == 0:
+                row += ["insult", "people"] if i % 50 == 0 else ["blorg"]
+            elif i % 10 in (1, 2, 3, 4) and i % 20 < 10 or i % 20 in (11, 12, 13):
+                row.append("insult" if i % 2 else "people")
+            texts.append(" ".join(rng.permutation(row)))
+            y.append(float(i % 10 == 0))
+        return texts, np.array(y)
+
+    def bins(texts):
+        found = [toxicity.terms(b) for b in blocks(pa.array(texts))]
+        first, docs = 0, []
+        for block, (_, d) in zip(blocks(pa.array(texts)), found, strict=True):
+            docs.append(d + block.first)
+        return np.concatenate([b for b, _ in found]), np.concatenate(docs)
+
+    texts, y = made(3000)
+    b, d = bins(texts)
+    f1, f = np.bincount(b, weights=y[d], minlength=1 << toxicity.BITS), np.bincount(b, minlength=1 << toxicity.BITS).astype(float)
+    one = [int(bins([w])[0][0]) for w in ("insult", "people")]
+    assert all(abs(toxicity._separation(f1, f, y.sum(), len(y))[one]) < toxicity.MIN_Z)
+    assert set(one) <= set(toxicity.paired_terms(b, d, y, f1, f).tolist())
+    model = toxicity.FactorizationMachine.fit(b, d, y)
+    held, want = made(600)
+    got = model.score(*bins(held), len(held)) >= 0.5
+    assert (got == (want > 0)).mean() >= 0.97
+
+
+def test_the_greatest_text_of_a_repeated_id_is_learnt_from(spark):
+    data = [(i, "vile " * 3 + f"a{i}" if i % 2 else f"kind b{i}", "en", "s", 0) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    twice = data + [(i, "", "en", "s", 0) for i in range(200)]
+    models = [toxicity.train(spark.createDataFrame(d, "doc_id long, text string, lang string, source string, n_chars long").repartition(n), labels) for d, n in ((data, 2), (twice, 5))]
+    assert models[0].b == models[1].b and (models[0].w == models[1].w).all()
