@@ -32,8 +32,9 @@ from .bytekit import BREAK, LOWER, U, Prefix, blocks, repeats
 BITS, PREFIXES = 18, (4, 5, 6)
 MAX_TRAIN, MAX_TERMS, RANK = 8000, 4096, 8
 MIN_Z, STEPS, RATE, DECAY = 6.0, 200, 0.1, 2e-5
-#: pairs of terms: toxic rows that must hold both, pairs that are counted in all rows, and pairs that are taken
-PAIR_ROWS, PAIR_TRIES, MAX_PAIRS = 12, 4096, 512
+#: pairs of terms: toxic rows that must hold both, how many times those that chance would give, pairs that are
+#: counted in all rows, pairs that are taken, and terms of the longest rows that pairs are sought in
+PAIR_ROWS, LIFT, PAIR_TRIES, MAX_PAIRS, PAIR_TERMS = 12, 2.5, 4096, 512, 256
 FOLDS = 5
 
 
@@ -62,31 +63,34 @@ def _separation(f1: np.ndarray, f: np.ndarray, n1: float, n: float) -> np.ndarra
 def paired_terms(bins: np.ndarray, docs: np.ndarray, y: np.ndarray, f1: np.ndarray, f: np.ndarray) -> np.ndarray:
     """Terms of the pairs that tell the classes apart better than either term does; docs ascend."""
     n, n1 = len(y), float(y.sum())
-    # a term in more than a quarter of the rows is in most pairs and tells nothing in them
+    # a term in more than a quarter of the rows is in most pairs, a pair no more common than chance is no pair
     keep = (f1[bins] >= PAIR_ROWS) & (f[bins] <= n / 4)
     bins, docs = bins[keep], docs[keep]
     toxic = np.flatnonzero(y > 0)
     rows = [np.sort(bins[a:b]).astype(np.int64) for a, b in zip(np.searchsorted(docs, toxic), np.searchsorted(docs, toxic, "right"), strict=True)]
+    # a long text holds any two words: it tells nothing of pairs, and all its terms still count one by one
+    rows = [row for row in rows if len(row) <= PAIR_TERMS]
 
     def codes() -> Iterator[np.ndarray]:
         for row in rows:
-            # a few terms of a row at a time against those behind them: bounded memory for any text
-            for i in range(0, len(row), 256):
-                part = row[i : i + 256]
-                a, b = np.triu_indices(len(part), 1)
-                yield np.concatenate(((part[a] << BITS) | part[b], ((part[:, None] << BITS) | row[None, i + 256 :]).reshape(-1)))
-
-    slots = 1 << 22
-    hashed = lambda c: (c.astype(U) * U(0x9E3779B97F4A7C15) >> U(42)).astype(np.int64)
-    count = np.zeros(slots, np.int32)
+            a, b = np.triu_indices(len(row), 1)
+            yield (row[a] << BITS) | row[b]
+
+    hashed = lambda c: (c.astype(U) * U(0x9E3779B97F4A7C15) >> U(40)).astype(np.int64)
+    chance = lambda a, b: f[a] * f[b] * (n1 / n / n)
+    count = np.zeros(1 << 24, np.uint16)
     for c in codes():
         np.add.at(count, hashed(c), 1)
-    often = [c[count[hashed(c)] >= PAIR_ROWS] for c in codes()]
+    often = []
+    for c in codes():
+        c = c[count[hashed(c)] >= PAIR_ROWS]
+        often.append(c[count[hashed(c)] >= LIFT * chance(c >> BITS, c & ((1 << BITS) - 1))])
+    del count
     pair, c1 = np.unique(np.concatenate([*often, np.zeros(0, np.int64)]), return_counts=True)
     pair, c1 = pair[c1 >= PAIR_ROWS], c1[c1 >= PAIR_ROWS]
     a, b = pair >> BITS, pair & ((1 << BITS) - 1)
-    chance = f[a] * f[b] / n * (n1 / n)
-    best = np.argsort(-(c1 - chance) / np.sqrt(chance + 1), kind="stable")[:PAIR_TRIES]
+    by_chance = chance(a, b)
+    best = np.argsort(-(c1 - by_chance) / np.sqrt(by_chance + 1), kind="stable")[:PAIR_TRIES]
     a, b, c1 = a[best], b[best], c1[best]
     order = np.argsort(bins, kind="stable")
     listed, at = docs[order], np.searchsorted(bins[order], np.arange((1 << BITS) + 1))
