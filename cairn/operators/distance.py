@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-MAX_LANDMARKS = 512
+#: fixed value: landmarks of a full matrix
+MAX_LANDMARKS = 1500
 
 
 def masked_distances(x: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
@@ -175,9 +176,13 @@ def means(rows: DataFrame, group: str, vector: str) -> DataFrame:
 
 
 def landmarks(rows: DataFrame, group: str, vector: str) -> tuple[list, np.ndarray]:
-    """The groups and their mean vectors: Spark sums all rows, at most MAX_LANDMARKS means come to the driver."""
-    packed = means(rows, group, vector).groupBy(group).agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
-    got = packed.filter(F.col(group).isNotNull()).orderBy(group).limit(MAX_LANDMARKS).collect()
+    """Groups in order and their mean vectors: Spark sums all rows, at most MAX_LANDMARKS means come to the driver.
+
+    Beyond that many groups, those with the most rows are landmarks.
+    """
+    covered = rows.filter(F.col(group).isNotNull()).groupBy(group).count().orderBy(F.desc("count"), group).limit(MAX_LANDMARKS)
+    packed = means(rows, group, vector).join(F.broadcast(covered), group).groupBy(group).agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))
+    got = packed.orderBy(group).collect()
     return [r[0] for r in got], np.array([[p["x"] for p in r["v"]] for r in got])
 
 
