@@ -435,7 +435,6 @@ def examples(pages: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-@lru_cache(maxsize=1)
 def train() -> BiLSTM:
     return BiLSTM().fit(examples(labelled_pages()))
 

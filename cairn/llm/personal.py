@@ -311,7 +311,6 @@ def labelled_lines(n: int, seed: int) -> tuple[list[list[str]], list[list[int]]]
     return lines, labels
 
 
-@lru_cache(maxsize=1)
 def train() -> Field:
     return Field.fit(*labelled_table())
 

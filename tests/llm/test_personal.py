@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from functools import cache
 
 from fixtures import DOCS, rows, table
 
@@ -8,6 +9,9 @@ from cairn.llm import personal
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
+#: one model for all tests
+trained = cache(personal.train)
+
 
 def base(text):
     """The contract's patterns and tests, as they stand."""
@@ -26,7 +30,7 @@ def test_base_spans(spark):
     rng = random.Random(1)
     texts = ["".join(rng.choice(["4111 1111 1111 1111", "+1 (555) 010-2030", "a.b@c.de", "10.0.0.1", "256.1.1.1", "7", " ", "-", "+", ".", "@", "x", "\n", "é"]) for _ in range(rng.randrange(1, 30))) for _ in range(300)]
     data = [(i, t, "en", "s", 0) for i, t in enumerate([*texts, None, "", "9" * 6000, "1." * 3000, "a" * 20000 + "@"])] + rows(5, 5)
-    field = personal.train()
+    field = trained()
     got = personal.find(table(spark, data, spans="clash", n_email="clash"), field, ["doc_id"]).collect()
     want = {}
     for i, t, *_ in data:
@@ -43,7 +47,7 @@ def test_base_spans(spark):
 
 def test_field_adds_what_patterns_miss():
     """A phone number without a plus sign is no base span; the field finds it by its shape."""
-    field = personal.train()
+    field = trained()
     text = "call me at (555) 010-2030 today"
     assert personal.base_spans(text) == []
     _, every = personal.spans(text, field)
@@ -51,7 +55,7 @@ def test_field_adds_what_patterns_miss():
 
 
 def test_field_held_out_accuracy():
-    field = personal.train()
+    field = trained()
     lines, labels = personal.labelled_table(300, seed=77)
     right = sum(int((got == want).sum()) for got, want in zip(field.decode(lines), labels, strict=True))
     assert right / sum(map(len, labels)) >= 0.95
@@ -59,7 +63,7 @@ def test_field_held_out_accuracy():
 
 def test_field_finds_spans_of_held_out_lines():
     """Recall and precision of whole spans by kind, on lines of another seed; base spans count as found."""
-    field = personal.train()
+    field = trained()
     lines, labels = personal.labelled_lines(400, seed=78)
     hit, want, got = ({k: 0 for k in personal.KINDS} for _ in range(3))
     for line, label in zip(lines, labels, strict=True):
@@ -83,7 +87,7 @@ def test_field_finds_spans_of_held_out_lines():
 
 
 def test_forms_that_no_pattern_has():
-    field = personal.train()
+    field = trained()
     found = lambda t: [(personal.KINDS[k], t[a:b]) for a, k, b in personal.spans(t, field)[1]]
     assert found("+1 555 010 2030 4111 1111 1111 1111") == [("phone", "+1 555 010 2030"), ("card", "4111 1111 1111 1111")]
     assert found("call 555-010-2030 now") == [("phone", "555-010-2030")]
@@ -97,7 +101,7 @@ def test_viterbi_is_the_best_of_all_paths():
 
     import numpy as np
 
-    field = personal.train()
+    field = trained()
     shapes = [personal.shape(w) for w in "call +1 555 010-2030 a@b.co".split()]
     e = field.emissions(shapes)
     paths = np.array(list(product(range(len(personal.LABELS)), repeat=len(shapes))))
