@@ -1,17 +1,24 @@
 """Sequence operators: seeds and diagonals, divergence, column consensus, codon comparison.
 
 Seed joins are equi-joins on the seeds; alignment along a diagonal compares two substrings in one
-expression.  Both stay inside Spark's generated code or its higher-order functions.
+expression.  Both stay inside Spark's generated code or its higher-order functions.  Letters by column are
+counted in Arrow batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED, MIN_ANCHORS, MIN_COMPARED, IMPLAUSIBLE_PERCENT = 12, 5, 50, 40.0
 #: the references' seeds are broadcast up to this number, some 50 MB; more are joined by shuffle
 BROADCAST_SEEDS = 1_000_000
+#: letters that are counted at once, and what a null key counts as
+CHUNK_LETTERS, NO_KEY = 1 << 20, (1 << 63) - 1
 
 
 def seeds(df: DataFrame, key: str, text: str, name: str, k: int = SEED) -> DataFrame:
@@ -43,28 +50,67 @@ def along(hits: DataFrame, queries: DataFrame, references: DataFrame) -> DataFra
     return rows.withColumn("q", F.substr("__q", lo + 1, size)).withColumn("r", F.substr("__r", (lo + F.col("diag") + 1).cast("int"), size)).drop("__q", "__r")
 
 
-def count_pairs(q: Column, r: Column, test) -> Column:
-    """The positions of two texts of equal length at which `test` of their letters holds."""
-    pairs = F.zip_with(F.split(q, ""), F.split(r, ""), lambda x, y: test(x, y).cast("long"))
-    return F.aggregate(pairs, F.lit(0).cast("long"), lambda s, x: s + x)
-
-
 def divergence(rows: DataFrame, readable: str | None = None) -> DataFrame:
-    """compared and mismatches of q and r; with `readable`, only positions where both letters match it."""
-    ok = (lambda x, y: x.rlike(readable) & y.rlike(readable)) if readable else (lambda x, y: F.length(x) > 0)
-    out = rows.withColumn("compared", count_pairs(F.col("q"), F.col("r"), ok))
-    return out.withColumn("mismatches", count_pairs(F.col("q"), F.col("r"), lambda x, y: ok(x, y) & (x != y)))
+    """compared and mismatches of q and r; with `readable`, only positions where both letters match it.
 
+    Both counts come from one pass over the letters: a mismatch adds 2**32 to the sum, a comparison 1.
+    """
+    def share(x: Column, y: Column) -> Column:
+        both = F.when(x != y, F.lit((1 << 32) + 1)).otherwise(F.lit(1).cast("long"))
+        return F.when(x.rlike(readable) & y.rlike(readable), both).otherwise(F.lit(0).cast("long")) if readable else F.when(x == "", F.lit(0).cast("long")).otherwise(both)
+
+    total = F.aggregate(F.zip_with(F.split("q", ""), F.split("r", ""), share), F.lit(0).cast("long"), lambda s, x: s + x)
+    out = rows.withColumn("__total", total)
+    return out.withColumn("compared", F.col("__total").bitwiseAND((1 << 32) - 1)).withColumn("mismatches", F.shiftright("__total", 32)).drop("__total")
 
-def columns_of(df: DataFrame, group: str, key: str, text: str) -> DataFrame:
-    """(group, key, position, letter) of the letters of each row."""
-    letters = F.filter(F.split(text, ""), lambda x: x != "")
-    return df.select(group, key, F.posexplode(letters).alias("position", "letter"))
 
+def letter_counts(df: DataFrame, group: str, key: str, text: str) -> DataFrame:
+    """(group, position, letter, n, first): how many rows of a group have a letter at a position, and their least key.
 
-def consensus(columns: DataFrame, group: str, key: str, first_seen: bool) -> DataFrame:
-    """The most frequent letter of each column; ties go to the letter met first by key, or the lowest."""
-    counts = columns.groupBy(group, "position", "letter").agg(F.count("*").alias("n"), F.min(key).alias("first"))
+    Letters are counted where they are read, a few texts at a time, so what is shuffled are counts.
+    Counts of one column may come in several rows.
+    """
+    kind = df.schema[group].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups = batch.column(0).dictionary_encode("encode")
+            of_row, keys = groups.indices.to_numpy(zero_copy_only=False), batch.column(1)
+            rank = keys.fill_null(NO_KEY).to_numpy(zero_copy_only=False)
+            texts = batch.column(2).to_pylist()
+            ends = np.cumsum([len(x) if x else 0 for x in texts])
+            at = 0
+            while at < len(texts):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_LETTERS, "right")))
+                codes = np.frombuffer("".join(x for x in texts[at:to] if x).encode("utf-32-le", "surrogatepass"), np.uint32)
+                size = np.diff(ends[at:to], prepend=ends[at - 1] if at else 0)
+                if len(codes):
+                    row = np.repeat(np.arange(at, to), size)
+                    position = np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)
+                    order = np.lexsort((rank[row], codes, position, of_row[row]))
+                    row, position, codes = row[order], position[order], codes[order]
+                    head = np.flatnonzero(np.concatenate(([True], (np.diff(of_row[row]) != 0) | (np.diff(position) != 0) | (codes[1:] != codes[:-1]))))
+                    letters, which = np.unique(codes[head], return_inverse=True)
+                    first = rank[row[head]]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            groups.dictionary.take(pa.array(of_row[row[head]])),
+                            pa.array(position[head], pa.int32()),
+                            pa.array([chr(x) for x in letters]).take(pa.array(which)),
+                            pa.array(np.diff(np.append(head, len(codes))), pa.int64()),
+                            pa.array(first, pa.int64(), mask=first == NO_KEY),
+                        ],
+                        [group, "position", "letter", "n", "first"],
+                    )
+                at = to
+
+    rows = df.select(group, F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"))
+    return rows.mapInArrow(run, f"{group} {kind}, position int, letter string, n long, first long")
+
+
+def consensus(counts: DataFrame, group: str, first_seen: bool) -> DataFrame:
+    """The most frequent letter of each column of `letter_counts`; ties go to the letter met first by key, or the lowest."""
+    counts = counts.groupBy(group, "position", "letter").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
     tie = -F.col("first") if first_seen else -F.ascii("letter")
     best = F.max_by(F.struct("letter", "n"), F.struct("n", tie)).alias("m")
     return counts.groupBy(group, "position").agg(best).select(group, "position", F.col("m.letter").alias("letter"), F.col("m.n").alias("n"))

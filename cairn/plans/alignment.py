@@ -63,14 +63,14 @@ _COLUMNS = "c AS (SELECT lang, doc_id, i - 1 AS position, letter FROM (SELECT la
 
 @query(f"WITH {_COLUMNS} SELECT lang, position::BIGINT AS position, letter, n::BIGINT AS n FROM (SELECT *, row_number() OVER (PARTITION BY lang, position ORDER BY n DESC, first) AS i FROM n) WHERE i = 1")
 def q_column_consensus(t):
-    columns = seq.columns_of(t.documents, "lang", "doc_id", "text")
-    return seq.consensus(columns, "lang", "doc_id", first_seen=True).withColumn("position", F.col("position").cast("long"))
+    counts = seq.letter_counts(t.documents, "lang", "doc_id", "text")
+    return seq.consensus(counts, "lang", first_seen=True).withColumn("position", F.col("position").cast("long"))
 
 
 @query(f"WITH {_COLUMNS} SELECT lang, position::BIGINT AS position, CASE WHEN letter = '-' THEN '0' ELSE letter END AS code, n::BIGINT AS n FROM (SELECT *, row_number() OVER (PARTITION BY lang, position ORDER BY n DESC, ord(letter)) AS i FROM n) WHERE i = 1")
 def q_column_consensus_code(t):
-    columns = seq.columns_of(t.documents, "lang", "doc_id", "text")
-    rows = seq.consensus(columns, "lang", "doc_id", first_seen=False)
+    counts = seq.letter_counts(t.documents, "lang", "doc_id", "text")
+    rows = seq.consensus(counts, "lang", first_seen=False)
     return rows.select("lang", F.col("position").cast("long").alias("position"), F.when(F.col("letter") == "-", "0").otherwise(F.col("letter")).alias("code"), "n")
 
 

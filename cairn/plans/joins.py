@@ -94,7 +94,7 @@ SELECT a, b, shared, matches, CASE WHEN shared >= 40 THEN round(1 - matches / sh
   FROM r p JOIN r q ON p.i = q.i AND p.lang < q.lang GROUP BY 1, 2)""")
 def q_masked_distance(t):
     """Distances of the groups' consensus rows; columns that either row cannot read do not count."""
-    rows = seq.consensus(seq.columns_of(t.documents, "lang", "doc_id", "text"), "lang", "doc_id", first_seen=False)
+    rows = seq.consensus(seq.letter_counts(t.documents, "lang", "doc_id", "text"), "lang", first_seen=False)
     a = rows.select(F.col("lang").alias("a"), "position", F.col("letter").alias("p"))
     b = rows.select(F.col("lang").alias("b"), "position", F.col("letter").alias("q"))
     pairs = a.join(b, "position").filter("a < b")
