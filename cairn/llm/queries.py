@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lines, mixing, neardup, pages, personal, quotes, repetition, substrings, toxicity
+from . import decontaminate, importance, lines, mixing, neardup, pages, personal, quotes, repetition, substrings, toxicity
 
 QUERIES = {
     "op1_quotation_linking": quotes.op1_quotation_linking,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_fuzzy_lines": lines.op8_fuzzy_lines,
     "op9_tensored_minhash": neardup.op9_tensored_minhash,
     "op10_spaced_seeds": decontaminate.op10_spaced_seeds,
+    "op11_importance_quickselect": importance.op11_importance_quickselect,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op7_efraimidis_spirakis": mixing.ORACLE_SQL,
     "op10_spaced_seeds": decontaminate.ORACLE_SQL,
     "op9_tensored_minhash": neardup.ORACLE_SQL,
+    "op11_importance_quickselect": importance.ORACLE_SQL,
 }
