@@ -77,17 +77,17 @@ def crc32(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def sql(texts: str, key: str, text: str) -> str:
     """CTEs (to follow WITH RECURSIVE) that end in `crc_of({key}, crc)`: a row for each row of table `texts`."""
     return f"""
-crc_bits(b, k, v) AS (SELECT b::UBIGINT, 0, b::UBIGINT FROM range(256) t(b)
-  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, {POLYNOMIAL}::UBIGINT) ELSE v >> 1 END FROM crc_bits WHERE k < 8),
+crc_bits(b, k, v) AS (SELECT b::BIGINT, 0, b::BIGINT FROM range(256) t(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, {POLYNOMIAL}::BIGINT) ELSE v >> 1 END FROM crc_bits WHERE k < 8),
 crc_table AS (SELECT list(v ORDER BY b) AS t FROM crc_bits WHERE k = 8),
 crc_bytes AS (SELECT {key}, hex(encode({text})) AS h, octet_length(encode({text})) AS n FROM {texts}),
 crc_most AS (SELECT coalesce(max(n), 0) AS most FROM crc_bytes),
 crc_step(d, b, v) AS (SELECT 0, b - 1, t[b] FROM crc_table, range(1, 257) r(b)
   UNION ALL SELECT d + 1, b, xor(v >> 8, t[(v & 255) + 1]) FROM crc_step, crc_table, crc_most WHERE d + 1 < most),
-crc_start(n, v) AS (SELECT 0, 4294967295::UBIGINT
+crc_start(n, v) AS (SELECT 0, 4294967295::BIGINT
   UNION ALL SELECT n + 1, xor(v >> 8, t[(v & 255) + 1]) FROM crc_start, crc_table, crc_most WHERE n < most),
 crc_each AS (SELECT {key}, n, unnest(range(n)) AS i, h FROM crc_bytes),
 crc_sum AS (
   SELECT {key}, bit_xor(s.v) AS v FROM (SELECT {key}, n - 1 - i AS d, ('0x' || substr(h, 2 * i + 1, 2))::BIGINT AS b FROM crc_each) e
   JOIN crc_step s ON s.d = e.d AND s.b = e.b GROUP BY {key}),
-crc_of AS (SELECT t.{key}, xor(xor(coalesce(s.v, 0), a.v), 4294967295::UBIGINT)::BIGINT AS crc FROM crc_bytes t JOIN crc_start a ON a.n = t.n LEFT JOIN crc_sum s ON s.{key} = t.{key})"""
+crc_of AS (SELECT t.{key}, xor(xor(coalesce(s.v, 0), a.v), 4294967295::BIGINT)::BIGINT AS crc FROM crc_bytes t JOIN crc_start a ON a.n = t.n LEFT JOIN crc_sum s ON s.{key} = t.{key})"""
