@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, importance, lines, mixing, neardup, pages, personal, quotes, repetition, substrings, toxicity
+from . import decontaminate, importance, lines, mixing, neardup, neighbours, pages, personal, quotes, repetition, spelling, substrings, toxicity
 
 QUERIES = {
     "op1_quotation_linking": quotes.op1_quotation_linking,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_tensored_minhash": neardup.op9_tensored_minhash,
     "op10_spaced_seeds": decontaminate.op10_spaced_seeds,
     "op11_importance_quickselect": importance.op11_importance_quickselect,
+    "op12_inverted_multi_index": neighbours.op12_inverted_multi_index,
+    "op13_partenum_variants": spelling.op13_partenum_variants,
 }
 
 ORACLES = {
@@ -26,4 +28,5 @@ ORACLES = {
     "op10_spaced_seeds": decontaminate.ORACLE_SQL,
     "op9_tensored_minhash": neardup.ORACLE_SQL,
     "op11_importance_quickselect": importance.ORACLE_SQL,
+    "op13_partenum_variants": spelling.ORACLE_SQL,
 }
