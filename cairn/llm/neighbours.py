@@ -4,7 +4,7 @@ Nearness is the inner product.  What a cell promises a query is a sum of two num
 inner product of the query's half with the centroid, and SPREAD times its standard deviation over the
 vectors that the centroid stands for.  A heap gives the pairs of centroids in falling order of these sums.
 Each query first visits pairs until they hold FIRST vectors; the WANTED-th best of these, by inner product,
-is its mark.  Then it goes on down the heap as long as a pair promises the mark.  So the way ends early where
+is its mark.  Then it goes on down the heap as long as a pair promises the mark; what scores less than the mark leaves no row.  So the way ends early where
 neighbours stand out, and goes far where all vectors are alike; nothing is cut at a number of cells.
 
 Cells are kept in bins of about BIN vectors; larger cells are split over several bins.  Queries meet bins in chunks of at most
@@ -153,7 +153,7 @@ def probes(index: Index, first: np.ndarray, second: np.ndarray, mark: float | No
 
 
 def _probe_rows(queries: DataFrame, index: Index) -> DataFrame:
-    """(bin, id, v, cells): each bin that a query (id, v, mark) visits, with the cells that it visits there."""
+    """(bin, id, v, mark, cells): each bin that a query (id, v, mark) visits, with the cells that it visits there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,9 +170,9 @@ def _probe_rows(queries: DataFrame, index: Index) -> DataFrame:
                 bins += by_bin.keys()
                 cells += by_bin.values()
             where = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int64()), batch.column(0).take(where), batch.column(1).take(where), pa.array(cells, pa.list_(pa.int32()))], ["bin", "id", "v", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int64()), batch.column(0).take(where), batch.column(1).take(where), batch.column(2).take(where), pa.array(cells, pa.list_(pa.int32()))], ["bin", "id", "v", "mark", "cells"])
 
-    return queries.select("id", "v", "mark").mapInArrow(run, "bin long, id long, v array<double>, cells array<int>")
+    return queries.select("id", "v", "mark").mapInArrow(run, "bin long, id long, v array<double>, mark double, cells array<int>")
 
 
 def _entry_rows(groups: DataFrame, index: Index) -> DataFrame:
@@ -190,7 +190,7 @@ def _entry_rows(groups: DataFrame, index: Index) -> DataFrame:
 
 
 def meet(queries: pa.Table, entries: pa.Table) -> pa.Table:
-    """The WANTED nearest entries of each query among those of one bin, in the cells that it visits."""
+    """The WANTED nearest entries of each query among those of one bin, in the cells that it visits, if they score its mark."""
     names = ["query_id", "vec_id", "score"]
     empty = pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names)
     if not queries.num_rows or not entries.num_rows:
@@ -206,19 +206,22 @@ def meet(queries: pa.Table, entries: pa.Table) -> pa.Table:
     held = of < len(cell)
     held[held] = cell[of[held]] == visited.flatten().to_numpy()[held]
     seen[owner[held], of[held]] = True
+    mark = queries["mark"].to_numpy()
+    mark = np.where(np.isnan(mark), -np.inf, mark)
     out: list[list[np.ndarray]] = [[], [], []]
     nth = max(0, len(x) - WANTED - 1)  # one more than wanted, as one may be the query itself
     for at in range(0, len(q), SLICE):
         near = np.where(seen[at : at + SLICE][:, place], q[at : at + SLICE] @ x.T, -np.inf)
-        bar = np.partition(near, nth, axis=1)[:, nth : nth + 1]
-        row, e = np.nonzero((near >= bar - ROUNDING * (1 + np.abs(bar))) & (near > -np.inf))
+        bar = np.maximum(np.partition(near, nth, axis=1)[:, nth : nth + 1], mark[at : at + SLICE, None])
+        slack = ROUNDING * (1 + np.where(np.isfinite(bar), np.abs(bar), 0))
+        row, e = np.nonzero((near >= bar - slack) & (near > -np.inf))
         # the matrix product only preselects: here every pair is summed alike, and ties are ties
         score = (q[at + row] * x[e]).sum(axis=1)
         n = np.diff(offsets)[e]
         row, score = np.repeat(row, n), np.repeat(score, n)
         vec = flat[np.repeat(offsets[e] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())]
         own = queries["id"].to_numpy()[at + row]
-        other = vec != own
+        other = (vec != own) & (score >= mark[at + row])
         row, score, vec, own = row[other], score[other], vec[other], own[other]
         order = np.lexsort((vec, -score, row))
         row = row[order]
@@ -233,7 +236,7 @@ def _visit(queries: DataFrame, entries: DataFrame, index: Index, scratch: Scratc
     """(query_id, vec_id, score): the nearest of each bin that the queries visit."""
     rows = scratch.save(_probe_rows(queries, index), f"{name}-probes")
     chunks = scratch.save(rows.groupBy("bin").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), f"{name}-chunks")
-    left = rows.join(chunks, "bin").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).select("bin", "chunk", "id", "v", "cells")
+    left = rows.join(chunks, "bin").withColumn("chunk", F.pmod(F.xxhash64("id"), "chunks").cast("int")).select("bin", "chunk", "id", "v", "mark", "cells")
     right = entries.join(chunks, "bin").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("bin", "chunk", "cell", "ids", "v")
     met = left.groupBy("bin", "chunk").cogroup(right.groupBy("bin", "chunk")).applyInArrow(meet, "query_id long, vec_id long, score double")
     return scratch.save(met, f"{name}-met")

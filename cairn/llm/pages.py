@@ -25,6 +25,7 @@ import html as entities
 import re
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 from operator import or_
@@ -48,11 +49,12 @@ RAW = frozenset("script style textarea title iframe template".split())
 BOUNDED = {t: re.compile(rf"<(/?){t}\b", re.I) for t in "button option select".split()}
 #: an open element of these ends where a sibling of the same set begins
 CLOSES = {"p": frozenset("p"), "li": frozenset(("li", "p")), "dt": frozenset(("dt", "dd", "p")), "dd": frozenset(("dt", "dd", "p")), "tr": frozenset(("tr", "td", "th", "p")), "td": frozenset(("td", "th", "p")), "th": frozenset(("td", "th", "p"))}
+#: words and attributes of more letters are read anew each time
+KEPT = 256
 TAG, STOP = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)"), re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
 
-@lru_cache(maxsize=1 << 14)
 def _masks(tag: str, attributes: str) -> tuple[int, int]:
     """Bins by which a path knows an element, its tag and the words of its class, id and role: as one of the path, as its last."""
     words = [w for m in ATTRIBUTE.finditer(attributes) for w in re.split(r"[^a-z]+", (m[2] or m[3] or m[4] or "").lower()) if w]
@@ -61,6 +63,9 @@ def _masks(tag: str, attributes: str) -> tuple[int, int]:
     return reduce(or_, (bit(x) for x in names if x not in ("html", "body")), 0), reduce(or_, (bit(f"/{x}") for x in names), 0)
 
 
+_kept_masks = lru_cache(maxsize=1 << 14)(_masks)
+
+
 class Tags:
     """The tags of a page in order; the page is read once, whatever it holds."""
 
@@ -111,6 +116,8 @@ def leaf_blocks(page: str) -> list[Block]:
     places: dict[str, list[int]] = {}
     blocks: list[tuple[int, int, int]] = []
     dropped: list[int] = []
+    #: how many of each tag are among them
+    kinds: Counter[str] = Counter()
     parts: list[str] = []
     links = 0
     at, size = 0, len(page)
@@ -127,12 +134,15 @@ def leaf_blocks(page: str) -> list[Block]:
         links = 0
 
     def close(to: int) -> None:
+        while dropped and dropped[-1] >= to:
+            tag = stack[dropped.pop()]
+            kinds[tag] -= 1
+            if not kinds[tag]:
+                del kinds[tag]
         while len(stack) > to:
             places[stack.pop()].pop()
         while blocks and blocks[-1][0] >= to:
             blocks.pop()
-        while dropped and dropped[-1] >= to:
-            dropped.pop()
 
     def say(text: str) -> None:
         nonlocal links
@@ -170,7 +180,7 @@ def leaf_blocks(page: str) -> list[Block]:
             if tag == "br":
                 say(" ")
                 continue
-            if block and dropped and all(tags.left_open(stack[i], at) for i in dropped):
+            if block and dropped and all(tags.left_open(kind, at) for kind in kinds):
                 close(dropped[0])
             if block and not dropped:
                 flush()
@@ -184,10 +194,11 @@ def leaf_blocks(page: str) -> list[Block]:
                 close(blocks[-1][0])
             places.setdefault(tag, []).append(len(stack))
             if block:
-                own, last = _masks(tag, attributes)
+                own, last = (_kept_masks if len(attributes) <= KEPT else _masks)(tag, attributes)
                 blocks.append((len(stack), own | (blocks[-1][1] if blocks else 0), last))
             if tag in DROPPED:
                 dropped.append(len(stack))
+                kinds[tag] += 1
             stack.append(tag)
         else:
             i = places[tag][-1] if places.get(tag) else -1
@@ -209,18 +220,20 @@ def _path_bins(mask: int) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(mask.to_bytes(PATH_BINS // 8, "little"), np.uint8), bitorder="little"))
 
 
-@lru_cache(maxsize=1 << 16)
 def _word_bin(word: str) -> tuple[int, float]:
     h = zlib.crc32(word.encode("utf-8", "surrogatepass"))
     return PATH_BINS + (h >> 1) % WORD_BINS, 1.0 if h & 1 else -1.0
 
 
+_kept_word_bin = lru_cache(maxsize=1 << 16)(_word_bin)
+
+
 def vectors(blocks: list[Block]) -> np.ndarray:
     x = np.zeros((len(blocks), INPUTS), np.float32)
     for i, (text, mask, depth, links) in enumerate(blocks):
         x[i, _path_bins(mask)] = 1
         words = text.lower().split(" ")
-        bins = np.array([_word_bin(w.strip(".,:;!?()")) for w in words])
+        bins = np.array([(_kept_word_bin if len(w) <= KEPT else _word_bin)(w.strip(".,:;!?()")) for w in words])
         count = np.bincount(bins[:, 0].astype(np.int64), bins[:, 1], minlength=INPUTS)
         # all words count, and a word said a thousand times no more than a thousand words
         x[i] += count / max(1.0, np.sqrt((count * count).sum()))

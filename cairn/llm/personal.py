@@ -318,7 +318,8 @@ def train() -> Field:
 _FIRST, _LAST = re.compile(r"[0-9A-Za-z+(]"), re.compile(r"[0-9A-Za-z]")
 #: what a decoded span may hold; beyond this only digits are counted and checksums taken, the field decides the rest
 _MADE_OF = {
-    "email": re.compile(r"[^\s@\[(]+\s*(?:@|[\[(]at[\])])\s*\S+?(?:\s*(?:\.|[\[(]dot[\])])\s*[^\s@]+)+", re.I),
+    # labels hold no dot and no bracket, so that a span can be read in one way only
+    "email": re.compile(r"[^\s@\[(]+\s*(?:@|[\[(]at[\])])\s*[^\s@.\[\]()]+(?:\s*(?:\.|[\[(]dot[\])])\s*[^\s@.\[\]()]+)+", re.I),
     "ip": re.compile(r"[0-9]+(\.[0-9]+){3}"),
     "card": re.compile(r"[0-9][\x20.0-9-]+"),
     "phone": re.compile(r"[+(0-9][\x20()./0-9-]+"),

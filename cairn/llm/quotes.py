@@ -6,7 +6,8 @@ of its conversation that holds the line unquoted.  A message's parent is the ori
 shallowest linked passage: of several, the one with most quoted characters, then the latest.  A
 message that quotes nothing known follows the message of the turn before it.
 
-Reply order is the order of `path`: the turns that lead to a message through quotations.  A reply
+Reply order is the order of `path`: the turns that lead to a message through quotations, written equally wide
+within a conversation; it is null for messages without a turn.  A reply
 stands right below the message that it quotes.  Paths are built by pointer jumping, in rounds
 logarithmic in the length of a conversation, so a conversation that holds a third of all messages is
 never gathered in one task.
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
-MARKS = r"^[ \t]*((?:>[ \t]?)+)"
+# one class, not a group that repeats: Java would call itself once a mark
+MARKS = r"^[ \t]*(>[> \t]*)"
 QUOTED_LINE = r"(?m)^[ \t]*>[^\n]*(?:\n|\z)"
 ATTRIBUTION = r"(?mi)^[^\n>]{0,200}(?:wrote|writes|schrieb|écrit|escribió)[^\n]{0,40}:[ \t]*\n(?=[ \t]*>)"
 
@@ -89,6 +91,9 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     quoting = nodes.filter("parent is not null").select(F.col("c").alias("hc"), F.col("turn").alias("ht"), F.col("parent").alias("up"))
     hung = heads.join(quoting, (F.col("c") == F.col("hc")) & (F.col("head") == F.col("ht")), "left").select("c", "turn", "up")
     paths = _paths(hung, scratch).select("c", "turn", "path")
+    # turns are written as wide as the conversation's widest, so that paths sort as numbers do
+    width = ids.groupBy("c").agg(F.max(F.length(F.col("turn").cast("string"))).alias("width"))
+    paths = paths.join(width, "c").withColumn("path", F.transform("path", lambda x: F.lpad(x.cast("string"), F.col("width"), F.lit("0"))))
     about = nodes.join(paths, ["c", "turn"]).select(F.col("c").alias("nc"), F.col("turn").alias("nt"), "parent", "follows", "n_linked", "n_quoted", "max_level", "path")
 
     clean = F.rtrim(F.regexp_replace(F.regexp_replace("text", ATTRIBUTION, ""), QUOTED_LINE, ""))
@@ -102,7 +107,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"),
         parent.alias("parent_turn"),
         F.when(F.col("parent").isNotNull(), "quote").when(F.col("follows"), "sequence").otherwise("root").alias("link"),
-        F.array_join(F.coalesce(F.col("path"), F.array("turn")), ".").alias("path"),
+        F.array_join("path", ".").alias("path"),
     )
 
 
@@ -120,14 +125,15 @@ k AS (SELECT q.conv_id, q.turn, q.level, o.origin, sum(length(q.body)) AS chars,
 p AS (SELECT conv_id, turn, arg_max(origin, (-level, chars, origin)) AS parent, sum(n) AS n_linked FROM k GROUP BY ALL),
 c AS (SELECT conv_id, turn, count(*) AS n_quoted, max(level) AS max_level FROM q GROUP BY ALL),
 i AS (SELECT DISTINCT conv_id, turn FROM conversations),
+z AS (SELECT conv_id, max(length(CAST(turn AS VARCHAR)))::INTEGER AS width FROM i GROUP BY conv_id),
 n AS (
   SELECT i.conv_id, i.turn, p.parent, p.n_linked, c.n_quoted, c.max_level, b.turn IS NOT NULL AS follows
   FROM i LEFT JOIN p ON p.conv_id = i.conv_id AND p.turn = i.turn LEFT JOIN c ON c.conv_id = i.conv_id AND c.turn = i.turn LEFT JOIN i b ON b.conv_id = i.conv_id AND b.turn = i.turn - 1),
 h AS (SELECT *, max(CASE WHEN parent IS NOT NULL OR NOT follows THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS head FROM n),
 u AS (SELECT h.conv_id, h.turn, g.parent AS up FROM h JOIN n g ON g.conv_id = h.conv_id AND g.turn = h.head),
 t AS (
-  SELECT conv_id, turn, CAST(turn AS VARCHAR) AS path FROM u WHERE up IS NULL
-  UNION ALL SELECT u.conv_id, u.turn, t.path || '.' || u.turn FROM t JOIN u ON u.conv_id = t.conv_id AND u.up = t.turn)
+  SELECT u.conv_id, turn, lpad(CAST(turn AS VARCHAR), width, '0') AS path FROM u JOIN z ON z.conv_id = u.conv_id WHERE up IS NULL
+  UNION ALL SELECT u.conv_id, u.turn, t.path || '.' || lpad(CAST(u.turn AS VARCHAR), width, '0') FROM t JOIN u ON u.conv_id = t.conv_id AND u.up = t.turn JOIN z ON z.conv_id = u.conv_id)
 SELECT r.conv_id, r.turn, r.role,
   CASE WHEN n_quoted IS NULL THEN r.text ELSE rtrim(regexp_replace(regexp_replace(r.text, '{ATTRIBUTION.replace("(?=[ ", "([ ")}', '\1', 'g'), '{QUOTED_LINE}', '', 'g')) END AS text,
   coalesce(n_quoted, 0)::BIGINT AS n_quoted, coalesce(max_level, 0)::BIGINT AS max_level, coalesce(n_linked, 0)::BIGINT AS n_linked,

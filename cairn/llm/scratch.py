@@ -7,6 +7,7 @@ so a lost executor costs only the tasks it was running.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -15,7 +16,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: when a query ends, Spark removes the shuffle files that only it could read
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_lent: list[Scratch] | None = None
+_here = threading.local()
+_lock = threading.Lock()
+_cleaning: dict[int, tuple[int, str | None]] = {}
+
+
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    """CLEAN_UP is on while any thread writes; the last one to end puts back what the session had."""
+    with _lock:
+        n, before = _cleaning.get(id(spark), (0, None))
+        if not n:
+            before = spark.conf.get(CLEAN_UP, None)
+            spark.conf.set(CLEAN_UP, "true")
+        _cleaning[id(spark)] = n + 1, before
+    try:
+        yield
+    finally:
+        with _lock:
+            n, before = _cleaning.pop(id(spark))
+            if n > 1:
+                _cleaning[id(spark)] = n - 1, before
+            elif before is None:
+                spark.conf.unset(CLEAN_UP)
+            else:
+                spark.conf.set(CLEAN_UP, before)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -36,8 +61,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
-        if _lent is not None:
-            _lent.append(self)
+        if getattr(_here, "lent", None) is not None:
+            _here.lent.append(self)
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -45,13 +70,9 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        before = self.spark.conf.get(CLEAN_UP, None)
-        self.spark.conf.set(CLEAN_UP, "true")
-        try:
+        with _cleaned(self.spark):
             # a plan takes the setting when it is made
             df.select("*").write.option("compression", "zstd").parquet(path)
-        finally:
-            self.spark.conf.unset(CLEAN_UP) if before is None else self.spark.conf.set(CLEAN_UP, before)
         # the schema is known: reading with it skips inference and keeps empty tables readable
         out = self.spark.read.schema(df.schema).parquet(path)
         out._cairn_path = path
@@ -72,10 +93,16 @@ class Scratch:
 
 @contextmanager
 def lent() -> Iterator[list[Scratch]]:
-    """Lists the scratch spaces opened inside, so that the caller can close them once their result is written."""
-    global _lent
-    before, _lent = _lent, []
+    """Lists the scratch spaces that this thread opens inside, so that the caller can close them once their result is written.
+
+    Where the work inside fails they are closed at once.
+    """
+    before, _here.lent = getattr(_here, "lent", None), []
     try:
-        yield _lent
+        yield _here.lent
+    except BaseException:
+        for opened in _here.lent:
+            opened.close()
+        raise
     finally:
-        _lent = before
+        _here.lent = before

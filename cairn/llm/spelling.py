@@ -121,33 +121,44 @@ def _signature_rows(words: DataFrame) -> DataFrame:
     return words.select("word", "n").mapInArrow(run, "sig long, word string, n long")
 
 
-def rests(word: str) -> np.ndarray:
-    """Hashes of a word without its first, second, ... letter, and of the whole word last."""
-    letters = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(U)
-    n = len(letters)
+def rests(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each letter of the words: which word, its place, whether the next one differs, and the hash of the word without it; of each word its own hash."""
+    n = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    letters = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), np.uint32).astype(U)
+    owner = np.repeat(np.arange(len(n)), n)
+    first = np.cumsum(n) - n
+    place = np.arange(len(letters)) - first[owner]
     with np.errstate(over="ignore"):
-        powers = np.multiply.accumulate(np.full(n + 1, stream(41, 1)[0] | U(1), U))
+        base = stream(41, 1)[0] | U(1)
+        powers = np.multiply.accumulate(np.append(base, np.full(n.max(initial=0), base)))
         values = mix(letters)
-        before = np.concatenate((np.zeros(1, U), np.cumsum(values * powers[:n], dtype=U)))
+        whole = np.concatenate((np.zeros(1, U), np.cumsum(values * powers[place], dtype=U)))
         # letters after a gap stand one place further left: their sum is taken with powers one lower
-        after = np.concatenate((np.zeros(1, U), np.cumsum(values[1:] * powers[: n - 1], dtype=U)))
-        rest = before[:n] + after[-1] - after
-        return mix(np.append(rest + U(n - 1), before[n] + U(n)))
+        lower = np.concatenate((np.zeros(1, U), np.cumsum(values * powers[np.maximum(place - 1, 0)], dtype=U)))
+        before = whole[:-1] - whole[first[owner]]
+        after = lower[(first + n)[owner]] - lower[1:]
+        rest = mix(before + after + (n[owner] - 1).astype(U))
+        own = mix(whole[first + n] - whole[first] + n.astype(U))
+    differs = np.ones(len(letters), bool)
+    differs[:-1] = (letters[1:] != letters[:-1]) | (owner[1:] != owner[:-1])
+    return owner, place, differs, rest, own
 
 
 def _rest_rows(words: DataFrame) -> DataFrame:
     """(key, id, role): a row for each letter of a word under its place and rest (role 0) and the rest alone (1), and one for the word (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = rests(word)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                owner, place, differs, rest, own = rests(batch.column(1))
                 with np.errstate(over="ignore"):
-                    placed = mix(h[:-1] + np.arange(1, len(h), dtype=U) * U(0x9E3779B97F4A7C15))
-                alone = np.unique(h[:-1])
-                key = np.concatenate((placed, alone, h[-1:])).astype(np.int64)
-                role = np.repeat(np.array([0, 1, 2], np.int8), [len(placed), len(alone), 1])
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), i)), pa.array(role)], ["key", "id", "role"])
+                    placed = mix(rest + (place + 1).astype(U) * U(0x9E3779B97F4A7C15))
+                # either of two equal neighbours leaves the same rest: it is listed once
+                key = np.concatenate((placed, rest[differs], own)).view(np.int64)
+                of = np.concatenate((owner, owner[differs], np.arange(len(own))))
+                role = np.repeat(np.array([0, 1, 2], np.int8), [len(placed), int(differs.sum()), len(own)])
+                yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0).take(pa.array(of)), pa.array(role)], ["key", "id", "role"])
 
     return words.select("id", "word").mapInArrow(run, "key long, id long, role byte")
 
@@ -214,15 +225,15 @@ _RUNS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRST
 ORACLE_SQL = rf"""
 WITH RECURSIVE o AS (SELECT doc_id, unnest({_RUNS}) AS run FROM documents),
 u AS (SELECT row_number() OVER () AS k, *, coalesce(doc_id::VARCHAR, '') || ':' || run AS f FROM (SELECT doc_id, run, count(*) AS times FROM o WHERE length(run) >= {SHORTEST} GROUP BY doc_id, run)),{crc.sql("u", "k", "f")},
-x AS (SELECT times, CASE WHEN crc % {ALTERED} = 0 THEN left(run, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word FROM u JOIN crc_of c ON c.k = u.k),
+x AS (SELECT times, CASE WHEN crc % {ALTERED} = 0 THEN substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) ELSE run END AS word FROM u JOIN crc_of c ON c.k = u.k),
 w AS (SELECT word, sum(times)::BIGINT AS n FROM x WHERE length(word) >= {SHORTEST} GROUP BY word HAVING sum(times) >= {LEAST}),
-d AS (SELECT word, n, length(word) AS size, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+d AS (SELECT word, n, length(word) AS size, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
 p AS (
   SELECT a.word AS word, a.n, b.word AS other, b.n AS m FROM d a JOIN d b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
   UNION SELECT d.word, d.n, w.word, w.n FROM d JOIN w ON d.rest = w.word UNION SELECT w.word, w.n, d.word, d.n FROM d JOIN w ON d.rest = w.word),
 q AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM p),
 e AS (SELECT word, n_near, CASE WHEN m >= {TIMES} * n THEN other END AS form, CASE WHEN m >= {TIMES} * n THEN m END AS form_n FROM q WHERE place = 1),
-t AS (SELECT word, word AS at, 0 AS step FROM w UNION ALL SELECT t.word, e.form, step + 1 FROM t JOIN e ON e.word = t.at WHERE e.form IS NOT NULL),
-r AS (SELECT word, arg_max(at, step) AS root FROM t GROUP BY word)
+t AS (SELECT word, word AS last, 0 AS step FROM w UNION ALL SELECT t.word, e.form, step + 1 FROM t JOIN e ON e.word = t.last WHERE e.form IS NOT NULL),
+r AS (SELECT word, arg_max(last, step) AS root FROM t GROUP BY word)
 SELECT w.word, form, root, n, coalesce(n_near, 0)::BIGINT AS n_near, form_n::BIGINT AS form_n FROM w JOIN r ON r.word = w.word LEFT JOIN e ON e.word = w.word
 """

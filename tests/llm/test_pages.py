@@ -108,3 +108,12 @@ def test_corpus_pages_match_their_articles(spark):
             n += 1
             same += got[r.page_id] == "\n".join(b.text for b in pages.leaf_blocks(inner))
     assert n > 0 and same >= 0.98 * n
+
+
+@pytest.mark.parametrize("page", [lambda n: "<head>" * n + "<button>" + "<p>x" * n + "</button>", lambda n: "<select><option>" * n + "<p>x" * n, lambda n: "<button>" * n + "<div>x</div>" * n, lambda n: "<p " + "a" * n + ">" + "w" * n])
+def test_nested_dropped_elements_are_linear(page):
+    import time
+
+    began = time.process_time()
+    pages.leaf_blocks(page(100_000))
+    assert time.process_time() - began < 6

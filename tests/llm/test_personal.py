@@ -113,3 +113,17 @@ def test_long_words():
     """A word is read whole: its @ or digits beyond any prefix are features."""
     word = "aB" * 5000 + "@example.com"
     assert "@" in personal.shape(word) and personal._digits(personal.shape("x" + "12" * 400)) == 800
+
+
+def test_many_dots_end_soon():
+    """A span of dots and brackets can be read in one way only."""
+    import time
+
+    began = time.process_time()
+    for n in (20, 60, 2000):
+        for line in (f"x@y.de [dot] ann@h.b.da.({'.' * n} (at) to", f"a@b{'.c' * n}. [dot", f"a (at) {'b.' * n}@c", "a@" + "b " * n + "."):
+            personal._MADE_OF["email"].fullmatch(line)
+            personal.spans(line, trained())
+    assert time.process_time() - began < 10
+    for good in ("ann@mail.example", "ann [at] mail [dot] example", "ann(at)mail.example.org", "ann @ mail . example"):
+        assert personal._MADE_OF["email"].fullmatch(good)

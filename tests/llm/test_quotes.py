@@ -44,7 +44,8 @@ def test_long_chain(spark):
     """Each message quotes the one before: as many rounds as the logarithm, and a full path."""
     n = 40
     got = link(spark, [(1, t, "a", (f"> message number {t - 1}\n" if t else "") + f"message number {t}") for t in range(n)])
-    assert got[1, n - 1].path == ".".join(map(str, range(n)))
+    assert got[1, n - 1].path == ".".join(f"{t:02d}" for t in range(n))
+    assert sorted(got.values(), key=lambda r: r.path) == [got[1, t] for t in range(n)]
 
 
 def test_matches_sql(spark, tmp_path):
@@ -67,3 +68,10 @@ def test_matches_sql(spark, tmp_path):
     columns, rows = of_spark(quotes.link_quotes(df))
     assert (columns, rows) == of_duckdb(quotes.ORACLE_SQL, str(tmp_path))
     assert sum(r[columns.index("link")] == "quote" for r in rows) > 20
+
+
+def test_very_long_runs_of_marks(spark):
+    """Java's pattern engine must not call itself once a mark."""
+    messages = [(1, 0, "u", "a line"), (1, 1, "v", ">" * 100_000 + " a line\n" + "> " * 50_000), (1, 2, "w", "> > a line\nno")]
+    got = {r.turn: r for r in quotes.link_quotes(spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[1].max_level == 100_000 and got[1].parent_turn == 0 and got[2].max_level == 2 and got[2].text == "no"

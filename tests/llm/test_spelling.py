@@ -108,9 +108,12 @@ def test_near_words_share_a_signature():
 
 
 def test_rests_are_those_of_shorter_words():
-    w = "abcaé"
-    all_of = spelling.rests(w)
-    assert [int(x) for x in all_of[:-1]] == [int(spelling.rests(w[:i] + w[i + 1 :])[-1]) for i in range(len(w))]
+    words = ["abcaé", "z", "aab", "", "qrstuvwx"]
+    own_of = lambda w: int(spelling.rests(pa.array([w]))[4][0])
+    owner, place, differs, rest, own = spelling.rests(pa.array(words))
+    assert [(int(o), int(p), int(r)) for o, p, r in zip(owner, place, rest)] == [(o, p, own_of(w[:p] + w[p + 1 :])) for o, w in enumerate(words) for p in range(len(w))]
+    assert own.tolist() == [own_of(w) for w in words]
+    assert [bool(d) for d in differs] == [p + 1 == len(w) or w[p] != w[p + 1] for w in words for p in range(len(w))]
 
 
 def test_counts_do_not_depend_on_partitions(spark):
