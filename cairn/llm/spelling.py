@@ -6,8 +6,8 @@ parts by a hash, so at least PARTS - 2 parts of two such words are equal: a word
 members in each choice of PARTS - 2 parts, near words share one of them, and words that share one are
 compared letter by letter.
 
-A signature of more than CROWD words (words of the same few letters) makes no pairs.  Its words meet
-again by what is left of them without one letter: two words of the same length by the place and
+A signature of more than CROWD words (words of the same few letters) makes no pairs.  Its words, and those of
+LONG letters or more, meet by what is left of them without one letter: two words of the same length by the place and
 the rest, others by the rest and the shorter word.  At most as many words share a place and a rest as there are
 letters, and all of them are near.
 
@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import crc
@@ -40,6 +40,8 @@ TIMES = 10
 ALTERED = 31
 PARTS = 6
 CROWD = 64
+#: where Spark's edit distance gets dear
+LONG = 64
 CHOICES = tuple(combinations(range(PARTS), PARTS - 2))
 ASCII_LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
 
@@ -163,26 +165,50 @@ def _rest_rows(words: DataFrame) -> DataFrame:
     return words.select("id", "word").mapInArrow(run, "key long, id long, role byte")
 
 
-def _near(left: str, right: str):
+def _near(left: str, right: str) -> Column:
     return (F.abs(F.length(left) - F.length(right)) <= 1) & (F.levenshtein(left, right, 1) == 1)
 
 
+def one_apart(a: str, b: str) -> bool:
+    """Whether one letter put in, left out or replaced makes one word of the other, in time linear in their length."""
+    a, b = sorted((a, b), key=len)
+    x, y = (np.frombuffer(w.encode("utf-32-le"), np.uint32) for w in (a, b))
+    other = x != y[: len(x)]
+    if len(x) == len(y):
+        return int(other.sum()) == 1
+    at = int(other.argmax()) if other.any() else len(x)
+    return len(x) + 1 == len(y) and bool((x[at:] == y[at + 1 :]).all())
+
+
+def _long_near(rows: DataFrame) -> DataFrame:
+    """Those of the rows whose words `x` and `y` are one apart, for words of any length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([one_apart(a, b) for a, b in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)], pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def near_words(words: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, na, b, nb): each pair of the words (word, n) that differ by one letter, once, a before b."""
-    rows = scratch.save(_signature_rows(words), "signatures")
+    rows = scratch.save(_signature_rows(words.filter(F.length("word") <= LONG)), "signatures")
     sizes = scratch.save(rows.groupBy("sig").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
     met = rows.join(sizes, "sig")
     few = scratch.save(met.filter(F.col("size") <= CROWD).select("sig", "word", "n"), "few")
     left, right = (few.select("sig", F.col("word").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
     pairs = left.join(right, "sig").filter((F.col("a") < F.col("b")) & _near("a", "b")).select("a", "na", "b", "nb")
-    crowd = scratch.save(met.filter(F.col("size") > CROWD).select("word", "n").distinct().withColumn("id", F.monotonically_increasing_id()), "crowd")
+    crowd = met.filter(F.col("size") > CROWD).select("word", "n").union(words.filter(F.length("word") >= LONG).select("word", "n")).distinct()
+    crowd = scratch.save(crowd.withColumn("id", F.monotonically_increasing_id()), "crowd")
     keys = scratch.save(_rest_rows(crowd), "rests")
     left, right = (keys.select("key", F.col("id").alias(x), F.col("role").alias(f"r{x}")) for x in "ij")
     same = left.filter("ri = 0").join(right.filter("rj = 0"), "key").filter("i < j").select("i", "j")
     longer = left.filter("ri = 1").join(right.filter("rj = 2"), "key").select("i", "j")
     met = same.unionByName(longer).distinct()
     of = lambda i, w: crowd.select(F.col("id").alias(i), F.col("word").alias(w), F.col("n").alias(f"n{w}"))
-    more = met.join(of("i", "x"), "i").join(of("j", "y"), "j").filter(_near("x", "y"))
+    more = scratch.save(met.join(of("i", "x"), "i").join(of("j", "y"), "j").select("x", "nx", "y", "ny"), "met")
+    short = F.greatest(F.length("x"), F.length("y")) <= LONG
+    more = more.filter(short & _near("x", "y")).unionByName(_long_near(more.filter(~short)))
     first = F.col("x") < F.col("y")
     more = more.select(*(F.when(first, p).otherwise(q).alias(name) for name, p, q in (("a", F.col("x"), F.col("y")), ("na", F.col("nx"), F.col("ny")), ("b", F.col("y"), F.col("x")), ("nb", F.col("ny"), F.col("nx")))))
     return scratch.save(pairs.unionByName(more).distinct(), "pairs")
