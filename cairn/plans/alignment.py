@@ -181,7 +181,7 @@ def q_pairwise_align(t):
     def run(batches):
         for pdf in batches:
             got = [pairwise.align(p, q) for p, q in zip(pdf.p, pdf.q, strict=True)]
-            yield pd.DataFrame({"doc_id": pdf.doc_id, "item_id": pdf.item_id, "score": [g[0] for g in got], "width": [len(g[1]) for g in got]})
+            yield pd.DataFrame({"doc_id": pdf.doc_id, "item_id": pdf.item_id, "score": [float(g[0]) for g in got], "width": [len(p) + len(q) - sum(n for _, _, n in g[1]) for p, q, g in zip(pdf.p, pdf.q, got, strict=True)]})
 
     return pairs.mapInPandas(run, "doc_id long, item_id long, score double, width long")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, curation, joins, scalars, summaries  # noqa: F401
+from . import alignment, anchoring, curation, joins, scalars, summaries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
