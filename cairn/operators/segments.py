@@ -138,6 +138,18 @@ def inferred(text: Column) -> Column:
     return F.when(usable, F.struct(nt.alias("nt"), aa.alias("aa"), F.when(turned, "-").otherwise("+").alias("strand")))
 
 
+def translation_check(rows: DataFrame, lo: int, width: int, least: int) -> DataFrame:
+    """(id, n_nt, internal_stops) of the rows (id, row) whose coding columns hold at least `least` letters; gaps keep their place as N.
+
+    Clean rows are those without internal stops; a width of 0 has no rows.
+    """
+    block = F.substring("row", lo + 1, width)
+    residues = B.translate(F.translate(block, B.GAP, "N"))
+    held = F.substr(residues, F.lit(1), F.greatest(F.length(residues) - 1, F.lit(0)))
+    checked = rows.select("id", F.length(F.translate(block, B.GAP, "")).alias("n_nt"), F.regexp_count(held, F.lit(r"\*")).alias("internal_stops"))
+    return checked.filter((F.col("n_nt") >= least) & F.lit(width > 0))
+
+
 def segment(records: DataFrame, cds: DataFrame) -> DataFrame:
     """record_id, method, strand, ncr5, orf_nt, ncr3, aa, n_internal_stops, absence_reason and problem of each record.
 

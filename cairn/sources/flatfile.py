@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+# Relations and their columns, as their readers know them.
 #: relations, their columns, and which of them are numbers
 RELATIONS = {
     "records": ("record_id", "record_ordinal", "accession", "version", "locus_name", "definition", "organism_name", "ncbi_taxid", "molecule_type", "topology", "division", "record_date", "sequence_length_nt", "sequence_sha256"),
@@ -160,8 +162,8 @@ def parse_record(block: str) -> dict | None:
     }
 
 
-def parsed_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the files at `path`: the nested struct, and `offset`, its place in source order."""
+def parsed_blocks(blocks: DataFrame) -> DataFrame:
+    """The nested struct of each record of `blocks` (value, offset), `offset` being its place in source order."""
     names = [x.split(" ")[0] for x in re.split(r", (?=[a-z_]+ (?:string|long|array))", PARSED)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,8 +171,17 @@ def parsed_records(spark: SparkSession, path: str) -> DataFrame:
             rows = [r | {"offset": o} for r, o in ((parse_record(v), o) for v, o in zip(pdf.value, pdf.offset, strict=True)) if r]
             yield pd.DataFrame(rows, columns=names)
 
-    blocks = spark.read.option("lineSep", "\n//").text(path).withColumn("offset", F.monotonically_increasing_id())
-    return blocks.mapInPandas(run, PARSED)
+    return blocks.select("value", "offset").mapInPandas(run, PARSED)
+
+
+def parsed_records(spark: SparkSession, path: str) -> DataFrame:
+    """One row per record of the files at `path`."""
+    return parsed_blocks(spark.read.option("lineSep", "\n//").text(path).withColumn("offset", F.monotonically_increasing_id()))
+
+
+def records_in_memory(spark: SparkSession, records: Iterable[str]) -> DataFrame:
+    """One row per record of texts that are at hand, in their order."""
+    return parsed_blocks(spark.createDataFrame([(text.removesuffix("//\n").removesuffix("//"), i) for i, text in enumerate(records)], "value string, offset long"))
 
 
 def relations(parsed: DataFrame) -> dict[str, DataFrame]:
@@ -182,9 +193,8 @@ def relations(parsed: DataFrame) -> dict[str, DataFrame]:
     # ordinals of records without a global sort: rows before the partition, and within it
     order = parsed.select("record_id", "offset").withColumn("part", F.shiftright("offset", 33))
     sizes = order.groupBy("part").agg(F.count("*").alias("rows"))
-    starts = sizes.alias("a").join(sizes.alias("b"), F.col("b.part") < F.col("a.part"), "left").groupBy("a.part").agg(F.coalesce(F.sum("b.rows"), F.lit(0)).alias("before"))
-    from pyspark.sql import Window
-
+    earlier = F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("part", F.coalesce(earlier, F.lit(0)).alias("before"))
     place = order.join(starts, "part").select("record_id", (F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("offset"))).alias("record_ordinal"))
     source = F.filter("features", lambda f: f["key"] == "source")[0]
     taxa = F.flatten(F.transform(F.filter(source["qualifiers"], lambda q: q["name"] == "db_xref"), lambda q: q["values"]))
