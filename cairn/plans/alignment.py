@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from ..operators import distance, pairwise
+from ..operators import distance, pairwise, tiles
 from ..operators import sequence as seq
 from .registry import query
 from .scalars import _BASES, AMINO_ACIDS, _bases, translate_codon
@@ -186,17 +186,55 @@ def q_pairwise_align(t):
     return pairs.mapInPandas(run, "doc_id long, item_id long, score double, width long")
 
 
-def _codes(x):
-    return np.where(np.abs(x) < 0.02, 0, np.clip(np.round((x + 1) * 2), 1, 5)).astype(int)
+#: what the dimensions of a vector are read as: five letters by size, and "-" near 0
+_LETTERED = "array_to_string(list_transform(embedding, lambda x: CASE WHEN abs(x::DOUBLE) < 0.02 THEN '-' ELSE substr('abcde', (least(greatest(floor((x::DOUBLE + 1) * 2.5), 0), 4) + 1)::INTEGER, 1) END), '')"
+_PAIRS = f"""
+c AS (SELECT vec_id, string_split({_LETTERED}, '') AS k FROM embeddings),
+p AS (SELECT a.vec_id, b.vec_id AS other, len(list_filter(list_zip(a.k, b.k), lambda z: z[1] <> '-' AND z[2] <> '-')) AS shared, len(list_filter(list_zip(a.k, b.k), lambda z: z[1] <> '-' AND z[1] = z[2])) AS equal FROM c a JOIN c b ON a.vec_id <> b.vec_id)"""
+_FLOOR = 56
+
+
+def _lettered(t):
+    one = lambda x: F.when(F.abs(x) < 0.02, "-").otherwise(F.substr(L("abcde"), F.least(F.greatest(F.floor((x + 1) * 2.5), L(0)), L(4)).cast("int") + 1, L(1)))
+    return t.embeddings.select(F.col("vec_id").alias("id"), F.array_join(F.transform(F.col("embedding").cast("array<double>"), one), "").alias("row"), "label")
+
+
+@query(f"""
+WITH {_PAIRS} SELECT vec_id, count(*) FILTER (shared >= {_FLOOR})::BIGINT AS comparable, coalesce(sum(shared) FILTER (shared >= {_FLOOR}), 0)::BIGINT AS shared, coalesce(sum(equal) FILTER (shared >= {_FLOOR}), 0)::BIGINT AS equal,
+  arg_min(other, (1 - equal / shared, other)) FILTER (shared >= {_FLOOR}) AS nearest, min(1 - equal / shared) FILTER (shared >= {_FLOOR}) AS distance FROM p GROUP BY vec_id""")
+def q_all_pairs(t):
+    """Every row against every other one, tile by tile: how many compare, over how much, and the nearest."""
+    return tiles.summary(tiles.tile_counts(_lettered(t), "abcde"), _FLOOR).withColumnRenamed("id", "vec_id")
 
 
 @query()
 def q_comparable_set(t):
-    """A greedy set of group means all of which can be compared with each other."""
-    labels, x = distance.landmarks(t.embeddings, "label", "embedding")
-    d, shared = distance.masked_distances(_codes(x), floor=20)
-    chosen = distance.comparable_set(d, [0] if labels else [], 40)
-    return t.spark.createDataFrame([(labels[i], int(shared[i][chosen].min())) for i in chosen], "label int, least_shared long")
+    """A greedy set of rows all of which can be compared with each other, in the order of their admission."""
+    chosen = tiles.comparable_set(_lettered(t), "abcde", _FLOOR, 200)
+    rank = t.spark.createDataFrame(list(enumerate(chosen)), "place long, id long")
+    return _lettered(t).join(F.broadcast(rank), "id").select(F.col("id").alias("vec_id"), "place", "label")
+
+
+_SELECTIONS = {"all": "TRUE", "short": "n_chars < 2000", "en": "lang = 'en'", "other": "lang <> 'en'"}
+_REGIONS = {"head": (0, 60), "middle": (60, 300), "rest": (300, 700)}
+
+
+@query(f"""
+WITH s(selection, reference) AS (VALUES {", ".join(f"('{n}', (SELECT min(doc_id) FROM documents WHERE {c}))" for n, c in _SELECTIONS.items())}),
+g(region, lo, hi) AS (VALUES {", ".join(f"('{n}', {lo}, {hi})" for n, (lo, hi) in _REGIONS.items())}),
+m AS ({" UNION ALL ".join(f"SELECT '{n}' AS selection, doc_id, text FROM documents WHERE {c}" for n, c in _SELECTIONS.items())}),
+x AS (
+  SELECT m.selection, g.region, m.doc_id, string_split(rpad(substr(m.text, lo + 1, hi - lo), hi - lo, '-'), '') AS a, string_split(rpad(substr(r.text, lo + 1, hi - lo), hi - lo, '-'), '') AS b
+  FROM m JOIN s ON s.selection = m.selection JOIN documents r ON r.doc_id = s.reference, g)
+SELECT selection, region, doc_id, len(list_filter(a, lambda c: regexp_matches(c, '^[a-z]$')))::BIGINT AS coverage,
+  len(list_filter(list_zip(a, b), lambda z: regexp_matches(z[1], '^[a-z]$') AND regexp_matches(z[2], '^[a-z]$')))::BIGINT AS comparable,
+  len(list_filter(list_zip(a, b), lambda z: regexp_matches(z[1], '^[a-z]$') AND regexp_matches(z[2], '^[a-z]$') AND z[1] <> z[2]))::BIGINT AS mismatches, comparable < 30 AS excluded FROM x""")
+def q_selection_panels(t):
+    """Four selections of documents, each against its first one, in three regions, in one plan."""
+    rows = t.documents.select(F.col("doc_id").alias("id"), F.col("text").alias("row"), "lang", "n_chars")
+    first = rows.agg(*(F.min(F.when(F.expr(c), F.col("id"))).alias(n) for n, c in _SELECTIONS.items())).first()
+    selections = {n: (F.expr(c), first[n]) for n, c in _SELECTIONS.items() if first[n] is not None}
+    return tiles.panels(rows, selections, _REGIONS, "a-z", 30).withColumnRenamed("id", "doc_id")
 
 
 @query()
