@@ -70,23 +70,27 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     named = scratch.save(named.select("item_id", "item", F.min("item_id").over(Window.partitionBy("item")).alias("one")), "items")
     items = named.filter("item_id = one").select(F.col("one"), F.col("item").alias("h"))
     seeds = F.when(F.size("h") < SPAN, F.array(*_seeds([SHORT]))).otherwise(F.array(*_seeds(list(range(SHORT)))))
-    bank = _windows(items).select("one", F.col("i").alias("at"), F.explode(seeds).alias("seed")).filter("seed is not null")
+    bank = _windows(items).select("one", F.size("h").alias("size"), F.col("i").alias("at"), F.explode(seeds).alias("seed")).filter("seed is not null")
     bank = scratch.save(bank, "bank")
     bits = bit_map(bank, "seed", MAP_BITS)
     places = F.broadcast(bank) if bank.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS else bank
     row = F.xxhash64("doc_id", "text").alias("row")
     windows = _windows(docs.select(row, hashed("text").alias("h"))).select("row", "i", F.explode(F.array(*_seeds(list(range(len(MASKS)))))).alias("seed"))
     hits = windows.filter(F.coalesce(may_be_in(bits, F.col("seed"), MAP_BITS), F.lit(False))).join(places, "seed")
-    hits = scratch.save(hits.select("row", "one", (F.col("i") - F.col("at")).alias("start")).distinct(), "hits")
-    # only documents with a hit are read again, and shuffled
+    hits = scratch.save(hits.select("row", "one", "size", (F.col("i") - F.col("at")).alias("start")).distinct(), "hits")
+    # only documents with a hit are read again, and shuffled, once each with all their alignments
     listed = bit_map(hits, "row")
     texts = docs.select("doc_id", "text", row).filter(may_be_in(listed, F.col("row"))).dropDuplicates(["doc_id", "row"])
-    hits = hits.join(texts.select("doc_id", "row", hashed("text").alias("h")), "row").join(items.select("one", F.col("h").alias("item")), "one")
-    # the words of both along the alignment
-    lo, hi = F.greatest(F.lit(0), -F.col("start")), F.least(F.size("item"), F.size("h") - F.col("start"))
-    doc_part, item_part = F.slice("h", F.col("start") + lo + 1, hi - lo), F.slice("item", lo + 1, hi - lo)
+    each = hits.groupBy("row").agg(F.collect_list(F.struct("one", "size", "start")).alias("hits"))
+    met = texts.select("doc_id", "row", hashed("text").alias("h")).join(each, "row").select("doc_id", "h", F.explode("hits").alias("x"))
+    # of a document's words only those along the item go on
+    start, lo = F.col("x.start"), F.greatest(F.lit(0), -F.col("x.start"))
+    hi = F.least(F.col("x.size"), F.size("h") - start)
+    parts = met.select("doc_id", "x.one", "x.size", start.alias("start"), lo.alias("lo"), F.slice("h", start + lo + 1, hi - lo).alias("part"))
     total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda s, x: s + x)
-    seen = hits.select("doc_id", "one", F.col("start").cast("long").alias("start"), F.size("item").alias("size"), (hi - lo).cast("long").alias("n_words"), F.zip_with(doc_part, item_part, lambda x, y: (x == y).cast("long")).alias("equal"))
+    both = parts.join(items.select("one", F.col("h").alias("item")), "one")
+    equal = F.zip_with("part", F.slice("item", F.col("lo") + 1, F.size("part")), lambda x, y: (x == y).cast("long"))
+    seen = both.select("doc_id", "one", F.col("start").cast("long").alias("start"), "size", F.size("part").cast("long").alias("n_words"), equal.alias("equal"))
     runs = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.col("n_words") - LOCAL + 1).cast("int")), lambda i: total(F.slice("equal", i, LOCAL)))
     seen = seen.withColumn("n_equal", total("equal")).withColumn("n_local", F.array_max(runs))
     most = (100 * F.col("n_equal") >= MIN_PERCENT * F.col("n_words")) | (100 * F.col("n_local") >= MIN_PERCENT * LOCAL)
