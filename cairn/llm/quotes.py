@@ -1,8 +1,9 @@
 r"""Chat formatting: quotation linking (operator 1, native).
 
-Lines that begin with `>` marks are quotes; the number of marks is their level.  A quoted line is
-normalised (letters lowered, white space collapsed), hashed, and joined to the first earlier message
-of its conversation that holds the line unquoted.  A message's parent is the origin of its
+Lines that begin with `>` marks are quotes; the number of marks is their level.  Lines of one level in a row are
+a passage.  A quoted passage is normalised (letters lowered, white space and line breaks collapsed), hashed, and joined to the
+first earlier message of its conversation that holds the passage unquoted, however its lines are broken; a passage that nobody is
+found to have written whole is joined line by line.  A message's parent is the origin of its
 shallowest linked passage: of several, the one with most quoted characters, then the latest.  A
 message that quotes nothing known follows the message of the turn before it.
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .scratch import Scratch
 
@@ -31,13 +33,27 @@ QUOTED_LINE = r"(?m)^[ \t]*>[^\n]*(?:\n|\z)"
 ATTRIBUTION = r"(?mi)^[^\n>]{0,200}(?:wrote|writes|schrieb|écrit|escribió)[^\n]{0,40}:[ \t]*\n(?=[ \t]*>)"
 
 
-def _lines(rows: DataFrame) -> DataFrame:
-    """A row per line that is not blank: its level, the hash of its normalised text, and its length."""
-    lines = rows.select("c", "turn", F.explode(F.split("text", "\n", -1)).alias("line"))
-    lines = lines.withColumn("marks", F.regexp_extract("line", MARKS, 1))
-    level = F.length(F.regexp_replace("marks", "[^>]", ""))
-    body = F.trim(F.regexp_replace(F.lower(F.regexp_replace("line", MARKS, "")), r"\s+", " "))
-    return lines.select("c", "turn", level.alias("level"), body.alias("body")).filter("body <> ''").select("c", "turn", "level", F.xxhash64("body").alias("h"), F.xxhash64(F.lit(1), "body").alias("h2"), F.length("body").alias("size"))
+def _passages(rows: DataFrame) -> DataFrame:
+    """A row per passage, lines of one level between blank ones: t (which text), its number, level, and the bodies of its lines."""
+    body = lambda x: F.trim(F.regexp_replace(F.lower(F.regexp_replace(x, MARKS, "")), r"\s+", " "))
+    level = lambda x: F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 1), "[^>]", ""))
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.struct(level(x).alias("level"), body(x).alias("body")))
+    rows = rows.select("c", "turn", F.xxhash64("text").alias("t"), lines.alias("lines")).filter("lines is not null")
+    at = lambda i: F.get("lines", i)
+    places = F.sequence(F.lit(0), F.size("lines") - 1)
+    parted = lambda i, j: F.coalesce((at(j)["body"] == "") | (at(j)["level"] != at(i)["level"]), F.lit(True))
+    ends = lambda step: F.filter(places, lambda i: (at(i)["body"] != "") & ((i + step < 0) | parted(i, i + step)))
+    spans = F.zip_with(ends(-1), ends(1), lambda i, j: F.struct(at(i)["level"].alias("level"), F.slice("lines", i + 1, j - i + 1)["body"].alias("bodies")))
+    return rows.select("c", "turn", "t", F.posexplode(spans).alias("passage", "p")).select("c", "turn", "t", "passage", "p.*")
+
+
+def _units(passages: DataFrame, *keys: str) -> DataFrame:
+    """What can be quoted of each passage: the whole, with its lines joined, and each line of it: hashes, characters and lines."""
+    unit = lambda whole, text, n: F.struct(F.lit(whole).alias("whole"), text.alias("body"), n.alias("n"))
+    single = F.when(F.size("bodies") > 1, F.transform("bodies", lambda x: unit(False, x, F.lit(1)))).otherwise(F.array().cast("array<struct<whole:boolean,body:string,n:int>>"))
+    every = F.concat(F.array(unit(True, F.array_join("bodies", " "), F.size("bodies"))), single)
+    rows = passages.select(*keys, F.explode(every).alias("u"))
+    return rows.select(*keys, "u.whole", F.xxhash64("u.body").alias("h"), F.xxhash64(F.lit(1), "u.body").alias("h2"), F.length("u.body").alias("size"), "u.n")
 
 
 def _heads(nodes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -73,14 +89,18 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     rows = messages.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.col("text").cast("string").alias("text"), c.alias("c"))
     placed = rows.filter("turn is not null")
     quoting = placed.filter(F.col("text").rlike(r"(?m)^[ \t]*>")).select("c", "turn", "text").distinct()
-    quoted = _lines(quoting).filter("level > 0")
-    quoted = scratch.save(quoted, "quoted")
-    # the first message that holds a line unquoted; a line that thousands hold meets in partial minimums
-    asked = quoted.select("c", "h", "h2").distinct()
-    origins = _lines(placed).filter("level = 0").groupBy("c", "h", "h2").agg(F.min("turn").alias("origin")).join(asked, ["c", "h", "h2"], "left_semi")
-    linked = quoted.join(origins, ["c", "h", "h2"]).filter("origin < turn").groupBy("c", "turn", "level", "origin").agg(F.sum("size").alias("chars"), F.count("*").alias("lines"))
+    quoted = scratch.save(_passages(quoting).filter("level > 0"), "quoted")
+    units = scratch.save(_units(quoted, "c", "turn", "t", "passage", "level"), "units")
+    # the first message that holds a passage or line unquoted; one that thousands hold meets in partial minimums
+    asked = units.select("c", "h", "h2").distinct()
+    origins = _units(_passages(placed).filter("level = 0"), "c", "turn").groupBy("c", "h", "h2").agg(F.min("turn").alias("origin")).join(asked, ["c", "h", "h2"], "left_semi")
+    met = units.join(origins, ["c", "h", "h2"]).filter("origin < turn")
+    # lines speak only for passages that nobody is found to have written whole
+    spoken = F.max("whole").over(Window.partitionBy("c", "turn", "t", "passage"))
+    met = met.withColumn("spoken", spoken).filter("whole = spoken")
+    linked = met.groupBy("c", "turn", "level", "origin").agg(F.sum("size").alias("chars"), F.sum("n").alias("lines"))
     parents = linked.groupBy("c", "turn").agg(F.max(F.struct(-F.col("level"), "chars", "origin")).alias("m"), F.sum("lines").alias("n_linked")).select("c", "turn", F.col("m.origin").alias("parent"), "n_linked")
-    counts = quoted.groupBy("c", "turn").agg(F.count("*").alias("n_quoted"), F.max("level").alias("max_level"))
+    counts = quoted.groupBy("c", "turn").agg(F.sum(F.size("bodies")).alias("n_quoted"), F.max("level").alias("max_level"))
 
     ids = placed.select("c", "turn").distinct()
     before = ids.select(F.col("c").alias("bc"), (F.col("turn") + 1).alias("bt"))
@@ -116,12 +136,20 @@ def op1_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL = rf"""
-WITH RECURSIVE l AS (
-  SELECT conv_id, turn, length(regexp_replace(regexp_extract(line, '{MARKS}', 1), '[^>]', '', 'g')) AS level, trim(regexp_replace(lower(regexp_replace(line, '{MARKS}', '')), '\s+', ' ', 'g')) AS body
-  FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM (SELECT DISTINCT conv_id, turn, text FROM conversations))),
-q AS (SELECT * FROM l WHERE level > 0 AND body <> ''),
-o AS (SELECT conv_id, body, min(turn) AS origin FROM l WHERE level = 0 AND body <> '' GROUP BY ALL),
-k AS (SELECT q.conv_id, q.turn, q.level, o.origin, sum(length(q.body)) AS chars, count(*) AS n FROM q JOIN o ON o.conv_id = q.conv_id AND o.body = q.body WHERE o.origin < q.turn GROUP BY ALL),
+WITH RECURSIVE a AS (SELECT row_number() OVER () AS r, conv_id, turn, string_split(text, chr(10)) AS ls FROM (SELECT DISTINCT conv_id, turn, text FROM conversations)),
+e AS (SELECT r, conv_id, turn, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM a),
+l AS (
+  SELECT r, conv_id, turn, i, length(regexp_replace(regexp_extract(line, '{MARKS}', 1), '[^>]', '', 'g')) AS level, trim(regexp_replace(lower(regexp_replace(line, '{MARKS}', '')), '\s+', ' ', 'g')) AS body FROM e),
+f AS (SELECT *, CASE WHEN body <> '' AND (coalesce(lag(body) OVER w, '') = '' OR lag(level) OVER w <> level) THEN 1 ELSE 0 END AS begins FROM l WINDOW w AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT *, sum(begins) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS passage FROM f),
+j AS (SELECT r, conv_id, turn, level, passage, string_agg(body, ' ' ORDER BY i) AS body, count(*) AS n FROM g WHERE body <> '' GROUP BY ALL),
+q AS (SELECT * FROM g WHERE level > 0 AND body <> ''),
+y AS (
+  SELECT r, conv_id, turn, level, passage, body, n, 1 AS whole FROM j
+  UNION ALL SELECT g.r, g.conv_id, g.turn, g.level, g.passage, g.body, 1, 0 FROM g JOIN j ON j.r = g.r AND j.passage = g.passage WHERE g.body <> '' AND j.n > 1),
+o AS (SELECT conv_id, body, min(turn) AS origin FROM y WHERE level = 0 GROUP BY ALL),
+m AS (SELECT y.*, o.origin, max(whole) OVER (PARTITION BY y.r, y.passage) AS spoken FROM y JOIN o ON o.conv_id = y.conv_id AND o.body = y.body WHERE level > 0 AND o.origin < y.turn),
+k AS (SELECT conv_id, turn, level, origin, sum(length(body)) AS chars, sum(n) AS n FROM m WHERE whole = spoken GROUP BY ALL),
 p AS (SELECT conv_id, turn, arg_max(origin, (-level, chars, origin)) AS parent, sum(n) AS n_linked FROM k GROUP BY ALL),
 c AS (SELECT conv_id, turn, count(*) AS n_quoted, max(level) AS max_level FROM q GROUP BY ALL),
 i AS (SELECT DISTINCT conv_id, turn FROM conversations),

@@ -75,3 +75,14 @@ def test_very_long_runs_of_marks(spark):
     messages = [(1, 0, "u", "a line"), (1, 1, "v", ">" * 100_000 + " a line\n" + "> " * 50_000), (1, 2, "w", "> > a line\nno")]
     got = {r.turn: r for r in quotes.link_quotes(spark.createDataFrame(messages, "conv_id long, turn long, role string, text string")).collect()}
     assert got[1].max_level == 100_000 and got[1].parent_turn == 0 and got[2].max_level == 2 and got[2].text == "no"
+
+
+def test_passages_are_found_however_their_lines_are_broken(spark):
+    first = "We could meet on Monday\nat noon in the old hall,\nif that is fine for you.\n\nThanks"
+    again = "> We could meet on Monday at noon\n> in the old hall, if that\n> is fine for you.\nYes.\nThanks"
+    other = "Thanks\nfor nothing"
+    got = link(spark, [(1, 0, "a", other), (1, 1, "b", first), (1, 2, "c", again), (1, 3, "d", "> Thanks\n\nok"), (1, 4, "e", ">> We could meet on Monday at noon in\n>> the old hall, if that is fine for you.\n> Yes.\n> Thanks\nfine")])
+    assert got[1, 2].parent_turn == 1 and got[1, 2].n_linked == 3
+    # the passage "Thanks" is first whole in message 1; as a line it stands in message 0 already
+    assert got[1, 3].parent_turn == 0
+    assert got[1, 4].parent_turn == 2 and got[1, 4].n_linked == 4 and got[1, 4].max_level == 2
