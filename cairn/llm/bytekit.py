@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: bytes of text worked on at once; bounds memory whatever the Arrow batch holds
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
