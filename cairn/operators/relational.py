@@ -24,6 +24,30 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, r
     return df.withColumn(rank, F.row_number().over(w).cast("bigint")).filter(F.col(rank) <= n)
 
 
+def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "place", slices: int = 64) -> DataFrame:
+    """`df` with the number of each row in its group, from 1: for groups that are few and large, or none.
+
+    A window over a group is one task.  Here the whole order of groups and rows is cut at `slices` keys, the first by a
+    hash; rows are numbered within a slice, after those of the slices before, which are counted first.
+    """
+    keys = [*group, *order]
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    drawn = df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(slices).collect()
+    if not drawn:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    bounds = F.array(*(F.struct(*(F.lit(r[k]).cast(kinds[k]).alias(k) for k in keys)) for r in drawn))
+    cut = df.withColumn("__slice", F.size(F.filter(bounds, lambda b: b < F.struct(*keys))))
+    earlier = Window.partitionBy(*group).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut.groupBy(*group, "__slice").agg(F.count("*").alias("__n")).withColumn("__start", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
+    starts = starts.select(*(F.col(c).alias(f"__g{i}") for i, c in enumerate(group)), F.col("__slice").alias("__s"), "__start")
+    met = F.col("__slice") == F.col("__s")
+    for i, c in enumerate(group):
+        met = met & F.col(c).eqNullSafe(F.col(f"__g{i}"))
+    place = F.row_number().over(Window.partitionBy(*group, "__slice").orderBy(*order))
+    out = cut.withColumn(name, place).join(starts, met)
+    return out.select(*df.columns, (F.col("__start") + F.col(name)).cast("long").alias(name))
+
+
 def governing(df: DataFrame, key: str, order: Sequence[Column], value: str) -> DataFrame:
     """Keep the highest-precedence row of each key; add `retired` rows and whether values disagree."""
     w = Window.partitionBy(key).orderBy(*order)

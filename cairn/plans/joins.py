@@ -103,9 +103,13 @@ def q_masked_distance(t):
     return out.withColumn("distance", F.when(F.col("shared") >= 40, F.round(1 - F.col("matches") / F.col("shared"), 6)))
 
 
-ansi("q_population_select", """
+@query("""
 SELECT c_custkey, c_mktsegment, CAST(ROW_NUMBER() OVER (ORDER BY c_mktsegment, c_custkey) AS BIGINT) AS position
-FROM @customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""")
+FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""")
+def q_population_select(t):
+    """Selected rows with their place in one order of all, numbered slice by slice."""
+    rows = t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey", "c_mktsegment")
+    return rel.numbered(rows, [], ["c_mktsegment", "c_custkey"], "position")
 
 
 @query("""

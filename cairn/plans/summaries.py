@@ -30,11 +30,27 @@ ansi("q_concordance", """
 SELECT label, COUNT(*) AS n FROM (SELECT CASE WHEN o_orderkey IS NULL THEN 'unaligned' WHEN c_acctbal > 5000 AND o_totalprice > 200000 OR c_acctbal <= 5000 AND o_totalprice <= 200000 THEN 'concordant' ELSE 'discordant' END AS label
   FROM @customer LEFT JOIN @orders ON c_custkey = o_custkey) s GROUP BY label""")
 ansi("q_numeric_extent", "SELECT MIN(b) AS low, MAX(b) AS high, COUNT(*) - COUNT(b) AS missing FROM (SELECT CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE s_acctbal END AS b FROM @supplier) s")
-ansi("q_upper_median", """
-SELECT o_orderpriority, price AS median FROM (SELECT o_orderpriority, o_totalprice AS price, ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) - 1 AS i, COUNT(*) OVER (PARTITION BY o_orderpriority) AS n FROM @orders) s
+
+
+@query("""
+SELECT o_orderpriority, price AS median FROM (SELECT o_orderpriority, o_totalprice AS price, ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice) - 1 AS i, COUNT(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders) s
 WHERE i = (n - n % 2) / 2""")
-ansi("q_sort_order_check", """
-SELECT o_orderkey, previous FROM (SELECT o_orderkey, o_custkey, LAG(o_custkey) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS previous FROM @orders) s WHERE previous > o_custkey""")
+def q_upper_median(t):
+    """The middle value of each of a few groups, the upper one of two, by numbers within slices."""
+    rows = rel.numbered(t.orders.select("o_orderpriority", "o_totalprice", "o_orderkey"), ["o_orderpriority"], ["o_totalprice", "o_orderkey"])
+    middle = t.orders.groupBy("o_orderpriority").agg((F.floor(F.count("*") / 2) + 1).alias("place"))
+    return rows.join(middle, ["o_orderpriority", "place"]).select("o_orderpriority", F.col("o_totalprice").alias("median"))
+
+
+@query("""
+SELECT o_orderkey, previous FROM (SELECT o_orderkey, o_custkey, LAG(o_custkey) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS previous FROM orders) s WHERE previous > o_custkey""")
+def q_sort_order_check(t):
+    """Rows that stand after a greater one, in the order of each of a few groups."""
+    rows = rel.numbered(t.orders.select("o_orderstatus", "o_orderkey", "o_custkey"), ["o_orderstatus"], ["o_orderkey"])
+    before = rows.select("o_orderstatus", (F.col("place") + 1).alias("place"), F.col("o_custkey").alias("previous"))
+    return rows.join(before, ["o_orderstatus", "place"]).filter("previous > o_custkey").select("o_orderkey", "previous")
+
+
 ansi("q_topk_stable", "SELECT doc_id, n_chars FROM @documents ORDER BY n_chars DESC, doc_id LIMIT 100")
 
 
@@ -176,8 +192,8 @@ o AS (SELECT l_returnflag, avg(CASE WHEN l_discount > 0.05 THEN 100.0 ELSE 0 END
 SELECT c.l_returnflag, count(*)::BIGINT AS chunks, count(*) >= 2 AND bool_and(abs(rate - overall) <= 15) AS homogeneous, count(*) FILTER (abs(rate - overall) > 15)::BIGINT AS deviating FROM c JOIN o ON c.l_returnflag = o.l_returnflag WHERE n >= 30 GROUP BY 1""")
 def q_chunk_homogeneity(t):
     """Each chunk of 150 rows against the overall rate; one chunk alone proves nothing."""
-    w = Window.partitionBy("l_returnflag").orderBy("l_orderkey", "l_linenumber", "l_partkey")
-    rows = t.lineitem.select("l_returnflag", F.floor((F.row_number().over(w) - 1) / 150).alias("chunk"), F.when(F.col("l_discount") > 0.05, 1).otherwise(0).alias("hit"))
+    placed = rel.numbered(t.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_discount"), ["l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"])
+    rows = placed.select("l_returnflag", F.floor((F.col("place") - 1) / 150).alias("chunk"), F.when(F.col("l_discount") > 0.05, 1).otherwise(0).alias("hit"))
     chunks = rows.groupBy("l_returnflag", "chunk").agg(F.count("*").alias("n"), F.sum("hit").alias("hits"))
     overall = chunks.groupBy("l_returnflag").agg((100 * F.sum("hits") / F.sum("n")).alias("overall"))
     off = F.abs(100 * F.col("hits") / F.col("n") - F.col("overall")) > 15
