@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import blocks
-from ..operators import anchored, segments
+from ..operators import anchored, evidence, segments
 from ..operators import sequence as seq
+from .alignment import _DIAGONALS
 from .registry import query
 from .scalars import _BASES, AMINO_ACIDS, _bases
 
@@ -91,3 +92,40 @@ def q_codon_runs(t):
     letters = F.regexp_replace("text", "[^a-z]", "-")
     runs = blocks.of_gapped(F.translate(letters, "t", "-"), F.translate(letters, "e", "-"), F.lit(0), F.lit(0), 3)
     return t.benchmark.select("item_id", F.explode(runs).alias("b")).select("item_id", F.col("b.r").cast("long").alias("r"), F.col("b.q").cast("long").alias("q"), F.col("b.n").cast("long").alias("n"))
+
+
+_EVIDENCE = f"""
+WITH {_DIAGONALS},
+x AS (SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN reverse(translate(b, 'ACGTN', 'TGCAN')) ELSE b END AS b FROM (SELECT doc_id, {_BASES} AS b FROM documents WHERE doc_id IN (SELECT doc_id FROM d)) s),
+y AS (SELECT doc_id, '+' AS strand, b FROM x UNION ALL SELECT doc_id, '-', reverse(translate(b, 'ACGTN', 'TGCAN')) FROM x),
+f AS (SELECT item_id, {_BASES} AS b, length({_BASES}) // 3 AS near FROM benchmark),
+qk AS (SELECT doc_id, strand, i AS pos, substr(b, i + 1, {seq.SEED}) AS k FROM y, range(0, greatest(length(b) - {seq.SEED - 1}, 0)) g(i)),
+rk AS (SELECT item_id, near, i AS rpos, substr(b, i + 1, {seq.SEED}) AS k FROM f, range(0, greatest(length(b) - {seq.SEED - 1}, 0)) g(i)),
+w AS (SELECT unnest([false, true]) AS wide),
+s AS (
+  SELECT doc_id, item_id, strand, wide, rpos - pos AS diag, count(*) AS n, min(pos) AS q0 FROM qk JOIN rk ON qk.k = rk.k JOIN d USING (doc_id, item_id), w WHERE wide OR rpos >= near GROUP BY 1, 2, 3, 4, 5),
+b AS (SELECT doc_id, item_id, strand, wide, diag FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id, strand, wide ORDER BY n DESC, q0, q0 + diag) AS i FROM s) WHERE i = 1 AND n >= {seq.MIN_ANCHORS}),
+l AS (SELECT b.*, y.b AS q, f.b AS r, greatest(CASE WHEN wide THEN 0 ELSE near END, diag) AS lo, least(length(f.b), length(y.b) + diag) AS hi FROM b JOIN y USING (doc_id, strand) JOIN f USING (item_id)),
+p AS (SELECT doc_id, item_id, strand, wide, lo, i, substr(r, CAST(i + 1 AS BIGINT), 1) AS a, substr(q, CAST(i - diag + 1 AS BIGINT), 1) AS c FROM l, range(lo, hi) g(i)),
+k AS (
+  SELECT doc_id, item_id, strand, wide, (i - lo) // {evidence.CHUNK} AS chunk, count(*) FILTER (NOT wide OR a <> 'N' AND c <> 'N') AS n, count(*) FILTER (a <> c AND (NOT wide OR a <> 'N' AND c <> 'N')) AS bad FROM p GROUP BY ALL),
+m AS (SELECT doc_id, item_id, strand, wide, sum(n) AS compared, sum(bad) * 100.0 / sum(n) AS pct FROM k GROUP BY ALL HAVING sum(n) > 0),
+h AS (
+  SELECT m.doc_id, m.item_id, m.strand, m.wide, count(*) >= {evidence.CHUNKS_LEAST} AND bool_and(abs(bad * 100.0 / n - pct) <= {evidence.DEVIATION}) AS even FROM m JOIN k USING (doc_id, item_id, strand, wide) WHERE n >= {evidence.CHUNK_LEAST} GROUP BY ALL),
+g AS (
+  SELECT m.*, row_number() OVER (PARTITION BY doc_id, item_id, wide ORDER BY compared DESC, strand) AS best FROM m LEFT JOIN h USING (doc_id, item_id, strand, wide)
+  WHERE compared >= {seq.MIN_COMPARED} AND pct <= {seq.IMPLAUSIBLE_PERCENT} AND (coalesce(even, false) OR NOT wide AND compared >= {evidence.GUARDED_BELOW}))
+SELECT doc_id, item_id, pct AS percent, compared::BIGINT AS compared, strand, CASE WHEN wide THEN '{evidence.WIDE}' ELSE '{evidence.REGION}' END AS basis
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY wide) AS first FROM g WHERE best = 1) WHERE first = 1"""
+
+
+@query(_EVIDENCE)
+def q_strand_evidence(t):
+    """Bases of documents, every second one turned, against an item they share a diagonal with: its last two thirds, else all of it."""
+    hits = seq.diagonals(t.documents, t.benchmark).select("doc_id", F.col("item_id").alias("ref_id"))
+    given = F.when(F.col("doc_id") % 2 == 1, blocks.reverse_complement(_bases())).otherwise(_bases())
+    records = hits.join(t.documents.select("doc_id", given.alias("sequence")), "doc_id").withColumn("by_band", F.lit(False))
+    size = F.length("reference")
+    refs = t.benchmark.select(F.col("item_id").alias("ref_id"), _bases().alias("reference")).withColumns({"region_lo": F.floor(size / 3).cast("int"), "region_hi": size, "wide_lo": F.lit(0)})
+    rows = evidence.measure_evidence(records, refs)
+    return rows.select("doc_id", F.col("ref_id").alias("item_id"), "percent", F.col("compared").cast("long").alias("compared"), "strand", "basis")
