@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .columns import foreign_names_kept
 from .scratch import Scratch
 from .sieve import bit_map, may_be_in, without
 
@@ -104,6 +105,7 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(*(spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark")))
 
 
+@foreign_names_kept
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the rows of documents that overlap a benchmark item."""
     leaky = Scratch(docs.sparkSession, "leaks").save(overlaps(docs, benchmark).select("doc_id").distinct(), "leaky")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bytekit import LOWER, SPACE, U, Prefix, blocks, mix, ngrams, repeats, stream
+from .columns import foreign_names_kept
 from .graph import components
 from .scratch import Scratch
 from .sieve import bit_map, may_be_in, without
@@ -229,6 +230,7 @@ def op9_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+@foreign_names_kept
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without all but the smallest doc_id of each near-duplicate component."""
     scratch = Scratch(docs.sparkSession, "kept")

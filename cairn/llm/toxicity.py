@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytekit import BREAK, LOWER, U, Prefix, blocks, repeats
+from .columns import foreign_names_kept
 
 BITS, PREFIXES = 18, (4, 5, 6)
 MAX_TRAIN, MAX_TERMS, RANK = 8000, 4096, 8
@@ -220,6 +221,7 @@ def op3_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@foreign_names_kept
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """`docs` (all columns) without the rows that score 0.5 or more."""
     names = docs.columns

@@ -88,3 +88,45 @@ def test_the_greatest_text_of_a_repeated_id_is_learnt_from(spark):
     twice = data + [(i, "", "en", "s", 0) for i in range(200)]
     models = [toxicity.train(spark.createDataFrame(d, "doc_id long, text string, lang string, source string, n_chars long").repartition(n), labels) for d, n in ((data, 2), (twice, 5))]
     assert models[0].b == models[1].b and (models[0].w == models[1].w).all()
+
+
+def test_margins_are_sums_over_all_pairs():
+    rng = np.random.default_rng(9)
+    slot = np.full(1 << toxicity.BITS, -1, np.int32)
+    slot[:50] = np.arange(50)
+    model = toxicity.FactorizationMachine(slot, 0.3, rng.normal(size=50), rng.normal(size=(50, toxicity.RANK)))
+    rows = [np.sort(rng.choice(80, k, replace=False)) for k in (0, 1, 2, 17, 60)]
+    got = model.score(np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), len(rows))
+    for row, score in zip(rows, got):
+        known = [t for t in row if t < 50]
+        margin = model.b + sum(model.w[t] for t in known) + sum(model.v[a] @ model.v[b] for i, a in enumerate(known) for b in known[i + 1 :])
+        assert abs(score - 1 / (1 + np.exp(-margin))) < 1e-9
+
+
+def test_paired_terms_are_those_of_a_count_of_all_pairs():
+    """On few terms, where no bound of the search bites: every pair counted in every row."""
+    rng = np.random.default_rng(10)
+    n = 600
+    y = (np.arange(n) % 5 == 0).astype(float)
+    held = rng.random((n, 30)) < 0.12
+    held[y > 0, 3] |= held[y > 0, 4]
+    either = rng.random(n)
+    held[:, 5], held[:, 6] = (y == 0) & (either < 0.12), (y == 0) & (either > 0.88)
+    held[(y > 0) & (rng.random(n) < 0.4), 5:7] = True
+    d, b = np.nonzero(held)
+    f1, f = np.bincount(b, weights=y[d], minlength=1 << toxicity.BITS), np.bincount(b, minlength=1 << toxicity.BITS).astype(float)
+    n1 = y.sum()
+    want = set()
+    for i in range(30):
+        for j in range(i + 1, 30):
+            if min(f1[i], f1[j]) < toxicity.PAIR_ROWS or max(f[i], f[j]) > n / 4:
+                continue
+            both = held[:, i] & held[:, j]
+            c, c1 = both.sum(), (both & (y > 0)).sum()
+            if c1 < max(toxicity.PAIR_ROWS, toxicity.LIFT * f[i] * f[j] * n1 / n / n):
+                continue
+            z = toxicity._separation(np.array([c1]), np.array([float(c)]), n1, n)[0]
+            alone = max(abs(toxicity._separation(f1[[k]], f[[k]], n1, n)[0]) for k in (i, j))
+            if z > toxicity.MIN_Z and z > alone + 1:
+                want |= {i, j}
+    assert set(toxicity.paired_terms(b, d, y, f1, f).tolist()) == want and {5, 6} <= want
