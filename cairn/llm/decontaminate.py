@@ -14,8 +14,8 @@ numbers for each place; it is broadcast only if these rows, counted first, are a
 equal words are one until the end.
 
 Defined results: words are `[^\x20\x09-\x0D]+`, letters lowered.  Null, empty and texts shorter than an item's seeds
-have no window.  Items of FEWEST to SPAN - 1 words are found word for word only; shorter ones are found nowhere: they cannot
-be told from a phrase.  Repeated documents and items are reported each by their ids; of an item_id with several texts
+have no window.  Items of FEWEST to SPAN - 1 words are found word for word only; shorter ones cannot be told from a phrase, and are found
+where a document's whole text is their words.  Repeated documents and items are reported each by their ids; of an item_id with several texts
 the greatest counts; of a doc_id with several texts the best overlap of any.  Empty tables give an empty result; extra
 columns are ignored.
 """
@@ -36,6 +36,8 @@ SPAN, FEWEST, SHORT = 10, 5, len(MASKS) - 1
 MIN_PERCENT, MIN_WORDS, LOCAL = 75, 10, 16
 #: places of seeds that may be broadcast: 24 bytes each
 BROADCAST_SEEDS = 1_000_000
+#: texts of one word and of fewer than FEWEST
+FEW_WORDS = rf"\A[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++(?:[\x20\x09-\x0D]++[^\x20\x09-\x0D]++){{0,{FEWEST - 2}}}[\x20\x09-\x0D]*+\z"
 #: bits of the seed map, as a power of two
 MAP_BITS = 24
 
@@ -97,8 +99,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     most = (100 * F.col("n_equal") >= MIN_PERCENT * F.col("n_words")) | (100 * F.col("n_local") >= MIN_PERCENT * LOCAL)
     good = seen.filter(F.when(F.col("size") < SPAN, F.col("n_equal") == F.col("size")).otherwise((F.col("n_equal") >= MIN_WORDS) & most))
     best = good.groupBy("doc_id", "one").agg(F.max(F.struct("n_equal", "n_words", (-F.col("start")).alias("s"))).alias("m"))
-    every = best.join(named.select("one", "item_id"), "one")
-    return every.select("doc_id", "item_id", (-F.col("m.s")).alias("start"), F.col("m.n_words").alias("n_words"), F.col("m.n_equal").alias("n_equal"))
+    best = best.select("doc_id", "one", (-F.col("m.s")).alias("start"), F.col("m.n_words").alias("n_words"), F.col("m.n_equal").alias("n_equal"))
+    # items without a window: texts that are nothing else
+    few = docs.filter(F.col("text").rlike(FEW_WORDS)).select("doc_id", hashed("text").alias("h"))
+    n = F.size("h").cast("long")
+    best = best.unionByName(few.join(items.filter(F.size("h") < FEWEST), "h").select("doc_id", "one", F.lit(0).cast("long").alias("start"), n.alias("n_words"), n.alias("n_equal")).distinct())
+    return best.join(named.select("one", "item_id"), "one").select("doc_id", "item_id", "start", "n_words", "n_equal")
 
 
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +130,9 @@ dw AS (SELECT doc_id, i, unnest([{_seed_sql(range(len(MASKS)))}]) AS seed FROM (
 bw AS (
   SELECT item_id, i, unnest(CASE WHEN len(h) < {SPAN} THEN [{_seed_sql([SHORT])}] ELSE [{_seed_sql(range(SHORT))}] END) AS seed
   FROM (SELECT item_id, h, unnest(range(0, len(h) - {FEWEST - 1})) AS i FROM b WHERE len(h) >= {FEWEST})),
-a AS (SELECT DISTINCT doc_id, item_id, dw.i - bw.i AS start FROM dw JOIN bw ON dw.seed = bw.seed),
+a AS (
+  SELECT DISTINCT doc_id, item_id, dw.i - bw.i AS start FROM dw JOIN bw ON dw.seed = bw.seed
+  UNION SELECT doc_id, item_id, 0 FROM d JOIN b ON d.h = b.h WHERE len(b.h) BETWEEN 1 AND {FEWEST - 1}),
 p AS (
   SELECT doc_id, item_id, start, d.h AS dh, b.h AS bh, greatest(0, -start) AS lo, least(len(b.h), len(d.h) - start) AS hi FROM a JOIN d USING (doc_id) JOIN b USING (item_id)),
 q AS (SELECT doc_id, item_id, start, len(bh) AS size, hi - lo AS n, list_transform(list_zip(dh[start + lo + 1 : start + hi], bh[lo + 1 : hi]), lambda z: CASE WHEN z[1] = z[2] THEN 1 ELSE 0 END) AS same FROM p),

@@ -21,6 +21,8 @@ def brute(data, bench):
         for item, x in bench:
             b = split(x)
             if len(b) < 5:
+                if b and b == d:
+                    best[i, item] = (len(b), len(b), 0)
                 continue
             for start in range(-len(b) + 1, len(d)):
                 lo, hi = max(0, -start), min(len(b), len(d) - start)
@@ -45,6 +47,7 @@ def test_brute_force(spark):
         data.append((800 + n, words(rng, 30) + " " + " ".join(w[2:20]) + " " + words(rng, 40), "en", "s", 0))
         data.append((700 + n, " ".join(w[len(w) // 3 :]) + " x", "en", "s", 0))
     data += [(900 + n, words(rng, 7) + " " + bench[n][1] + " " + words(rng, 4), "en", "s", 0) for n in (10, 11, 12)]
+    data += [(950, "  Too\nSHORT ", "en", "s", 0), (951, "too short indeed", "en", "s", 0), (952, "one " * 4 + "w" * 10_000, "en", "s", 0), (950, "too short", "en", "s", 0)]
     docs = table(spark, data, h="clash", i="clash", seed="clash", item_id="clash")
     items = spark.createDataFrame([*bench, bench[0]], "item_id long, text string")
     got = dec.overlaps(docs, items).collect()
