@@ -110,6 +110,6 @@ def test_scaling_and_comparable_sets():
 
 def test_pairwise_alignment():
     assert pairwise.align("ACGTACGT", "ACGTACGT")[0] == 16
-    score, a, b = pairwise.align("ACGT", "TTACGTTT")
-    assert (score, a, b) == (8, "--ACGT--", "TTACGTTT")
-    assert pairwise.align("", "AC") == (0.0, "--", "AC")
+    score, runs = pairwise.align("ACGT", "TTACGTTT")
+    assert (score, *pairwise.gapped("ACGT", "TTACGTTT", runs)) == (8, "--ACGT--", "TTACGTTT")
+    assert pairwise.align("", "AC") == (0, []) and pairwise.gapped("", "AC", []) == ("--", "AC")
