@@ -57,26 +57,29 @@ def _units(passages: DataFrame, *keys: str) -> DataFrame:
 
 
 def _heads(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(c, turn, head): the message at which the run of unquoting messages that holds a turn begins."""
-    at = scratch.save(nodes.select("c", "turn", F.when(F.col("parent").isNull() & F.col("follows"), F.col("turn") - 1).otherwise(F.col("turn")).alias("head")), "heads")
-    while True:
-        up = at.select(F.col("c").alias("uc"), F.col("turn").alias("ut"), F.col("head").alias("uh"))
-        new = scratch.save(at.join(up, (F.col("c") == F.col("uc")) & (F.col("head") == F.col("ut"))).select("c", "turn", F.col("uh").alias("head"), (F.col("uh") != F.col("head")).alias("moved")), "heads")
+    """(c, turn, head): the message at which the run of unquoting messages that holds a turn begins.
+
+    Only turns whose head is not found yet are joined again: each round doubles their way.
+    """
+    onward = F.col("parent").isNull() & F.col("follows")
+    at = scratch.save(nodes.select("c", "turn", F.when(onward, F.col("turn") - 1).otherwise(F.col("turn")).alias("head"), (~onward).alias("found")), "heads")
+    while at.filter("not found").limit(1).count():
+        up = at.select(F.col("c").alias("uc"), F.col("turn").alias("ut"), F.col("head").alias("uh"), F.col("found").alias("uf"))
+        more = at.filter("not found").join(up, (F.col("c") == F.col("uc")) & (F.col("head") == F.col("ut")))
+        new = scratch.save(at.filter("found").unionByName(more.select("c", "turn", F.col("uh").alias("head"), F.col("uf").alias("found"))), "heads")
         scratch.drop(at)
-        if not new.filter("moved").limit(1).count():
-            return new.drop("moved")
-        path = new._cairn_path
-        at = new.drop("moved")
-        at._cairn_path = path
+        at = new
+    return at.select("c", "turn", "head")
 
 
 def _paths(nodes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(c, turn, path): turns from the root down to each message, through quotations."""
+    """(c, turn, path): turns from the root down to each message, through quotations; only paths that are not whole are joined again."""
     at = scratch.save(nodes.select("c", "turn", "up", F.array("turn").alias("path")), "paths")
     while at.filter("up is not null").limit(1).count():
         above = at.select(F.col("c").alias("uc"), F.col("turn").alias("ut"), F.col("up").alias("uu"), F.col("path").alias("upath"))
-        both = at.join(above, (F.col("c") == F.col("uc")) & (F.col("up") == F.col("ut")), "left")
-        new = scratch.save(both.select("c", "turn", F.col("uu").alias("up"), F.when(F.col("upath").isNull(), F.col("path")).otherwise(F.concat("upath", "path")).alias("path")), "paths")
+        both = at.filter("up is not null").join(above, (F.col("c") == F.col("uc")) & (F.col("up") == F.col("ut")), "left")
+        more = both.select("c", "turn", F.col("uu").alias("up"), F.when(F.col("upath").isNull(), F.col("path")).otherwise(F.concat("upath", "path")).alias("path"))
+        new = scratch.save(at.filter("up is null").unionByName(more), "paths")
         scratch.drop(at)
         at = new
     return at
