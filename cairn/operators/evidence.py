@@ -100,14 +100,17 @@ def counts(reference: str, query: str, lo: int, hi: int, wide_lo: int) -> list[d
 def counted(records: DataFrame, references: DataFrame, key: str | None = "ref_id") -> DataFrame:
     """The rows of `records` (sequence and others) with `found`, the counts against their reference by `key`, or against every reference.
 
-    References are broadcast if their letters are few, which is counted.
+    References are broadcast if their letters are few, which is counted; every reference is taken only if they are few.
     """
     size = references.agg(F.sum(F.length("reference"))).first()[0] or 0
     refs = references.withColumn("reference", F.upper("reference"))
-    refs = F.broadcast(refs) if size <= BROADCAST_SEEDS or not key else refs
-    if not key and size > BROADCAST_SEEDS:
+    if key:
+        rows = records.join(F.broadcast(refs) if size <= BROADCAST_SEEDS else refs, key)
+    elif size <= BROADCAST_SEEDS:
+        every = refs.agg(F.collect_list(F.struct(*refs.columns)).alias("refs")).scalar()
+        rows = records.withColumn("__ref", F.explode(every)).select(*records.columns, "__ref.*")
+    else:
         raise ValueError(f"{size} letters of references are too many to be compared with every record")
-    rows = records.join(refs, key) if key else records.join(refs)
     rows = rows.withColumn("sequence", F.upper("sequence"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
