@@ -76,7 +76,7 @@ def _key():
 def _keyed(docs: DataFrame, *more: str) -> DataFrame:
     """(k, t, text): `t` tells apart documents of one doc_id; it is 0, which costs no space, if no doc_id repeats."""
     ids = docs.groupBy(_key().alias("k")).count().filter("count > 1")
-    t = F.hash("text") if ids.limit(1).count() else F.lit(0)
+    t = F.xxhash64("text") if ids.limit(1).count() else F.lit(0).cast("long")
     return docs.select(*more, _key().alias("k"), t.alias("t"), F.col("text").cast("string").alias("text"))
 
 
@@ -91,7 +91,7 @@ def entries(keyed: DataFrame) -> DataFrame:
                 index = pa.array(got["doc"] + block.first)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index), *(pa.array(got[x].view(np.int64)) for x in names)], ["k", "t", *names])
 
-    return keyed.mapInArrow(run, "k long, t int, lo long, n long, g long, c long")
+    return keyed.mapInArrow(run, "k long, t long, lo long, n long, g long, c long")
 
 
 class IndexFamily:
@@ -204,13 +204,13 @@ def repeated_runs(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 
     place = F.struct("k", "t", "lo")
     texts = _with_text(family.disputed(), keyed)
-    pieces = scratch.save(texts.mapInArrow(_pieces, "k long, t int, lo long, n long, g long, c long"), "pieces")
+    pieces = scratch.save(texts.mapInArrow(_pieces, "k long, t long, lo long, n long, g long, c long"), "pieces")
     scratch.drop(*(level for _, level in family.levels))
     kinds = scratch.save(pieces.groupBy("g", "c").agg(F.min(place).alias("m"), F.first("n").alias("n"), F.count("*").alias("f")), "kinds")
     found.append(pieces.join(kinds.filter("f > 1").select("g", "c", "m"), ["g", "c"]).filter(place != F.col("m")).select("k", "t", "lo", "n"))
     several = kinds.groupBy("g").agg(F.count("*").alias("f")).filter("f > 1").select("g")
     open_ = kinds.join(several, "g", "left_semi").select("m.*", "n")
-    windows = scratch.save(_with_text(open_, keyed).mapInArrow(_windows, "k long, t int, lo long, w0 long, w1 long"), "windows")
+    windows = scratch.save(_with_text(open_, keyed).mapInArrow(_windows, "k long, t long, lo long, w0 long, w1 long"), "windows")
     first = windows.groupBy("w0", "w1").agg(F.min(place).alias("m"), F.count("*").alias("f")).filter("f > 1").select("w0", "w1", "m")
     late = windows.join(first, ["w0", "w1"]).filter(place != F.col("m")).select("k", "t", "lo", F.lit(1).cast("long").alias("n"))
     for more in found:
