@@ -33,7 +33,7 @@ from .scratch import Scratch
 
 WANTED = 20
 EVERY = 20
-SPREAD = 2.0
+SPREAD = 2.3
 FIRST = 512
 BIN = 4096
 CHUNK = 2048
