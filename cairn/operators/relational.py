@@ -92,6 +92,43 @@ def range_join(df: DataFrame, key: str, at: str, id_: str, width: int) -> DataFr
     return left.join(right, [key, "bin"]).filter((F.col("hi") > F.col("lo")) & (F.col("hi") - F.col("lo") <= width)).drop("bin")
 
 
+def nearest_rounded(points: DataFrame, places: DataFrame, group: str, at: str, key: str, digits: int) -> DataFrame:
+    """(group, at, apart, key): for each distinct point (group, at), the places (group, at, key) of its group that are nearest, and how far: rounded.
+
+    Places of one distance are one row, with the largest key; a point has several rows where places differ by less than the rounding.
+    A point or place that is null or not finite is as far from all finite ones: it meets one row for each such kind of its group.
+    The least distance is to the place before or after in order, found within slices of the line and, where a slice has none,
+    at the ends of the slices beside it; what rounds to that distance lies in cells next to it, which are joined by equality.
+    """
+    width, unit = 16.0, 10.0**-digits
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    every = places.groupBy(group, F.col(at).cast("double").alias("__p")).agg(F.max(key).alias(key))
+    held = every.filter(finite(F.col("__p")) & F.col(key).isNotNull())
+    asked = points.select(group, F.col(at).cast("double").alias("__x")).filter(F.col(group).isNotNull()).distinct()
+    cell = lambda x: F.floor(x / width)
+    line = held.select(group, F.col("__p").alias("__v"), F.col("__p")).unionByName(asked.filter(finite(F.col("__x"))).select(group, F.col("__x").alias("__v"), F.lit(None).cast("double").alias("__p")))
+    line = line.withColumn("__cell", cell(F.col("__v")))
+    before = Window.partitionBy(group, "__cell").orderBy("__v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    after = Window.partitionBy(group, "__cell").orderBy("__v").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    inner = line.withColumn("__lo", F.max("__p").over(before)).withColumn("__hi", F.min("__p").over(after)).filter("__p is null")
+    ends = line.groupBy(group, "__cell").agg(F.max("__p").alias("__max"), F.min("__p").alias("__min"))
+    cells = Window.partitionBy(group).orderBy("__cell")
+    ends = ends.select(group, "__cell", F.max("__max").over(cells.rowsBetween(Window.unboundedPreceding, -1)).alias("__left"), F.min("__min").over(cells.rowsBetween(1, Window.unboundedFollowing)).alias("__right"))
+    x = F.col("__x")
+    near = inner.join(ends, [group, "__cell"]).select(group, F.col("__v").alias("__x"), F.coalesce("__lo", "__left").alias("__lo"), F.coalesce("__hi", "__right").alias("__hi"))
+    near = near.withColumn("apart", F.round(F.least(F.abs(F.col("__lo") - x), F.abs(F.col("__hi") - x)), digits)).filter("apart is not null")
+    # whatever rounds to this distance lies within half a unit of it on either side: in the cells around
+    unit_of = lambda v: F.floor(v / unit)
+    around = lambda side: F.sequence(unit_of(side - unit * 0.75) - 1, unit_of(side + unit * 0.75) + 1)
+    tried = near.select(group, "__x", "apart", F.explode(F.array_union(around(x - F.col("apart")), around(x + F.col("apart")))).alias("__unit"))
+    met = tried.join(held.withColumn("__unit", unit_of(F.col("__p"))), [group, "__unit"]).filter(F.round(F.abs(F.col("__p") - x), digits) == F.col("apart"))
+    found = met.groupBy(group, "__x", "apart").agg(F.max(key).alias(key))
+    kinds = every.groupBy(group, F.when(finite(F.col("__p")), 0.0).otherwise(F.col("__p")).alias("__p")).agg(F.max(key).alias(key))
+    rest = asked.join(found.select(F.col(group).alias("__g"), F.col("__x").alias("__f")), (F.col(group) == F.col("__g")) & F.col("__x").eqNullSafe(F.col("__f")), "left_anti")
+    rest = rest.join(kinds, group).select(group, "__x", F.round(F.abs(F.col("__p") - x), digits).alias("apart"), key)
+    return found.select(group, "__x", "apart", key).unionByName(rest).withColumnRenamed("__x", at)
+
+
 def content_id(prefix: str, *cols: Column, digits: int = 12) -> Column:
     """An id from what the row says: prefix and the first digits of a SHA-256."""
     return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat_ws("|", *cols), 256), 1, digits))

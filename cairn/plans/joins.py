@@ -291,10 +291,13 @@ def q_delta_reasons(t):
 @query("""
 SELECT s_suppkey, arg_min(c_custkey, (round(abs(c_acctbal - s_acctbal), 2), -c_custkey)) AS nearest, round(min(abs(c_acctbal - s_acctbal)), 2) AS apart FROM supplier JOIN customer ON s_nationkey = c_nationkey GROUP BY 1""")
 def q_argmin_composite(t):
-    """The nearest by balance, ties to the larger key; one pass of partial minimums."""
-    pairs = t.supplier.join(t.customer, F.col("s_nationkey") == F.col("c_nationkey"))
-    apart = F.round(F.abs(F.col("c_acctbal") - F.col("s_acctbal")), 2)
-    return pairs.groupBy("s_suppkey").agg(F.min_by("c_custkey", F.struct(apart, -F.col("c_custkey"))).alias("nearest"), F.min(apart).alias("apart"))
+    """The nearest by balance, ties to the larger key; suppliers meet the balances next to their own, not all customers of their nation."""
+    c = t.customer.select(F.col("c_nationkey").alias("group"), F.col("c_acctbal").alias("x"), F.col("c_custkey").alias("key"))
+    s = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("group"), F.col("s_acctbal").alias("x"))
+    near = rel.nearest_rounded(s.select("group", "x"), c, "group", "x", "key", 2)
+    rows = s.join(near, (s.group == near.group) & s.x.eqNullSafe(near.x)).groupBy("s_suppkey")
+    best = F.min_by("key", F.struct(F.col("apart").isNull(), "apart", -F.col("key")))
+    return rows.agg(best.alias("nearest"), F.min("apart").alias("apart"))
 
 
 @query("""
