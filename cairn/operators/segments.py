@@ -50,12 +50,13 @@ def to_spliced(positions: DataFrame, parts: DataFrame) -> DataFrame:
     return _through(positions, parts, "start", "past", "position", "spliced")
 
 
-def splice(parts: Column, text: Column) -> Column:
-    """The parts (ordinal, start, end, strand) of a text in order, each turned to its own strand."""
+def splice(parts: Column, text: Column, other: Column | None = None) -> Column:
+    """The parts (ordinal, start, end, strand) of a text in order, each on its own strand; `other` is the text's other strand."""
+    size, turned = F.length(text), F.reverse(F.translate(text, "ACGT", "TGCA")) if other is None else other
 
     def piece(p: Column) -> Column:
-        span = B.cut(text, p["start"] - 1, p["end"])
-        return F.when(p["strand"] == "-", B.reverse_complement(span)).otherwise(span)
+        start, end = F.greatest(p["start"] - 1, F.lit(0)), F.least(p["end"], size)
+        return F.when(p["strand"] == "-", B.cut(turned, size - end, size - start)).otherwise(B.cut(text, p["start"] - 1, p["end"]))
 
     return F.array_join(F.transform(F.array_sort(parts), piece), "")
 
@@ -93,7 +94,9 @@ def annotated(records: DataFrame, cds: DataFrame) -> DataFrame:
     """
     c = F.col
     rows = records.select("record_id", "sequence").join(cds, "record_id", "left")
-    rows = rows.withColumn("spliced", F.when(c("parts").isNotNull(), splice(c("parts"), c("sequence"))))
+    # the other strand is made once, and only where some part is on it
+    rows = rows.withColumn("other", B.other_strand_once(F.when(F.exists("parts", lambda p: p["strand"] == "-"), c("sequence"))))
+    rows = rows.withColumn("spliced", F.when(c("parts").isNotNull(), splice(c("parts"), c("sequence"), c("other"))))
     said = F.expr("try_cast(said AS int)")
     problem = (
         F.when(c("feature_id").isNull(), None)
@@ -106,7 +109,7 @@ def annotated(records: DataFrame, cds: DataFrame) -> DataFrame:
     turned = c("strand") == "-"
     size = F.length("sequence")
     rows = rows.withColumn("problem", problem).withColumn("made", F.when(sound, B.coding(B.cut(c("spliced"), c("codon_start") - 1, F.length("spliced")))))
-    oriented = F.when(turned, B.reverse_complement(c("sequence"))).otherwise(c("sequence"))
+    oriented = F.when(turned, c("other")).otherwise(c("sequence"))
     low, high = F.when(turned, size - c("end")).otherwise(c("start") - 1), F.when(turned, size - c("start") + 1).otherwise(c("end"))
     return rows.select("record_id", "sequence", F.when(sound, F.when(turned, "-").otherwise("+")).alias("strand"), F.when(sound, B.cut(oriented, F.lit(0), low)).alias("ncr5"), F.when(sound, B.cut(oriented, high, size)).alias("ncr3"), c("made.nt").alias("orf_nt"), c("made.aa").alias("aa"), c("made.stops").alias("n_internal_stops"), "problem", c("feature_id").isNotNull().alias("has_cds"))
 

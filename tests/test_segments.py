@@ -122,3 +122,44 @@ def test_inference_equals_a_search_of_all_frames(spark):
     texts = ["".join(rng.choice("ACGT" * 9 + "N") for _ in range(rng.randrange(0, 400))) for _ in range(40)]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S.inferred(F.col("t")).alias("x")).collect()
     assert all((tuple(r.x) if r.x else None) == best(r.t) for r in rows)
+
+
+def test_texts_are_read_twice_for_annotated_segments(spark):
+    """Once as bases and once for their number: a filter must not have them read again, nor features and qualifiers."""
+    from types import SimpleNamespace
+
+    from cairn.plans import anchoring
+
+    texts = [(i, "Abc déf " * (i * 7) + "xyz") for i in range(12)] + [(20, None), (21, ""), (22, "ü" * 70)]
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    df = anchoring.q_annotated_segments(SimpleNamespace(documents=documents))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_as_bases(") == 1 and plan.count("_count_bases(") == 1
+    assert plan.count("array_join(") == 1  # parts are spliced once
+    assert {r.doc_id for r in df.collect()} == {i for i, x in texts if x and sum(c.isascii() and c.isalpha() for c in x) >= 60}
+
+
+def test_the_other_strand_of_any_text(spark):
+    texts = ["ACGTN", "", None, "A", "xACGTé", "GATTACA" * 500]
+    want = [x if x is None else x[::-1].translate(str.maketrans("ACGTN", "TGCAN")) for x in texts]
+    for some in (texts, [x for x in texts if x is None or x.isascii()]):
+        rows = spark.createDataFrame([(i, x) for i, x in enumerate(some)], "i int, x string").coalesce(1)
+        got = [r.y for r in rows.select("i", B.reverse_complement(F.col("x")).alias("y")).orderBy("i").collect()]
+        assert got == [want[texts.index(x)] for x in some]
+
+
+def test_coding_texts_by_batch(spark):
+    """Against codons read one by one: stops at the end and within, left over letters, empty, null and texts beyond ASCII."""
+    code = dict(zip((a + b + c for a in "TCAG" for b in "TCAG" for c in "TCAG"), B.AMINO_ACIDS, strict=True))
+
+    def plain(x):
+        codons = [x[i : i + 3] for i in range(0, len(x) - 2, 3)]
+        codons = codons[:-1] if codons and code.get(codons[-1]) == "*" else codons
+        read = [code.get(c, "X") for c in codons]
+        return "".join(codons), "".join(read).replace("*", "X"), read.count("*")
+
+    texts = ["", None, "AT", "TAA", "TAATAG", "ATGTAAGCCTAAG", "ATGNNNTGA", "TAAATG", "GATTACA" * 40]
+    for some in (texts, [*texts, "ATéTAAGCüTGA", "é"]):
+        rows = spark.createDataFrame([(i, x) for i, x in enumerate(some)], "i int, x string").coalesce(1)
+        got = rows.select("i", B.coding(F.col("x")).alias("y")).orderBy("i").collect()
+        assert [None if r.y is None else tuple(r.y) for r in got] == [None if x is None else plain(x) for x in some]
